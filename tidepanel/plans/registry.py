@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_panel"]
+MODULES = ["q_panel", "q_checks"]
 
 
 def load():
