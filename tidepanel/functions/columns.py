@@ -115,7 +115,8 @@ def add_split(day, train_end: str, val_end: str) -> Column:
 
 def one_hot(c, categories: Sequence[str], prefix: str) -> list[Column]:
     """PRJ19: fixed category list; unknown or NULL -> all zeros."""
-    return [F.coalesce((col(c) == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{prefix}{v}") for v in categories]
+    return [F.coalesce((col(c) == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{prefix}{str(v).replace(' ', '_')}")
+            for v in categories]
 
 
 def flags_text(rules: Sequence[tuple[Column, str]], sep: str = ", ") -> Column:
