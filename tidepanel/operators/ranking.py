@@ -110,3 +110,33 @@ def average_rank(df: DataFrame, by: Sequence[str], value: str, name: str = "avg_
     ranked = exact_row_number(df, by, [value], name="__rn")
     span = ranked.groupBy(*by, value).agg(((F.min("__rn") + F.max("__rn")) / 2.0).alias(name))
     return ranked.drop("__rn").join(span, [*by, value], "inner")
+
+
+def running_totals(df: DataFrame, order: Sequence[str], cols: Sequence[str], descending: bool = False,
+                   suffix: str = "_cum") -> DataFrame:
+    """Global inclusive running sums of ``cols`` in ``order`` (rows should be unique on ``order``).
+
+    Two-level prefix sum: per-slice totals (one row per range partition, so
+    the broadcast is bounded by the partition count) give each slice its
+    offset; inside a slice a window over the slice id adds the local part.
+    """
+    order, cols = list(order), list(cols)
+    keyed = df
+    sort_cols = []
+    for i, c in enumerate(order):
+        k = f"__k{i}"
+        keyed = keyed.withColumn(k, -F.col(c) if descending else F.col(c))
+        sort_cols.append(k)
+    n = max(shuffle_partitions(df.sparkSession), 1)
+    ranged = keyed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    numbered = cut_lineage(ranged.withColumn("__mid", F.monotonically_increasing_id())
+                           .withColumn("__pid", F.shiftright(F.col("__mid"), _PID_SHIFT)))
+    totals = numbered.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}")
+                                       for c in cols])
+    local = Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, 0)
+    out = numbered.join(F.broadcast(offsets), "__pid", "inner")
+    for c in cols:
+        out = out.withColumn(f"{c}{suffix}", F.col(f"__o_{c}") + F.sum(c).over(local))
+    return out.drop("__mid", "__pid", *[f"__o_{c}" for c in cols], *sort_cols)

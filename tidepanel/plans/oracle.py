@@ -59,7 +59,10 @@ daily_load AS (
          CAST(sum(CASE WHEN session_type = 'gym' THEN 1 ELSE 0 END) AS BIGINT) AS gym_sessions,
          CAST(sum(CASE WHEN session_type = 'rehab' THEN 1 ELSE 0 END) AS BIGINT) AS rehab_sessions,
          sum(total_distance_m) AS total_distance_m, sum(hsr_distance_m) AS hsr_distance_m,
-         sum(sprint_count) AS sprint_count, max(max_speed_kmh) AS max_speed_kmh
+         sum(sprint_count) AS sprint_count, max(max_speed_kmh) AS max_speed_kmh,
+         sum(CASE session_type WHEN 'match' THEN 5.0 WHEN 'training' THEN 1.0 WHEN 'gym' THEN 0.4
+                               WHEN 'recovery' THEN 0.2 WHEN 'individual' THEN 0.4 WHEN 'rehab' THEN 0.15
+                               ELSE 0.0 END::DOUBLE * duration_min / 60.0) AS exposure_h
   FROM stg_sessions GROUP BY 1, 2
 ),
 raw_daily AS (
@@ -200,6 +203,7 @@ base AS (
          coalesce(l.gym_sessions, 0) AS gym_sessions, coalesce(l.rehab_sessions, 0) AS rehab_sessions,
          coalesce(l.hsr_distance_m, 0) AS hsr_distance_m, coalesce(l.sprint_count, 0) AS sprint_count,
          l.max_speed_kmh, coalesce(l.total_distance_m, 0) AS total_distance_m,
+         coalesce(l.exposure_h, 0) AS exposure_h,
          sl.sleep_hours, sl.sleep_efficiency_pct,
          w.hrv_rmssd_ms, w.resting_hr_bpm, w.soreness, w.fatigue, w.stress, w.mood,
          n.protein_gpkg, n.carbs_gpkg, n.kcal_per_kg, n.hydration_l,
@@ -271,6 +275,7 @@ features AS (
     acute_load_7d / nullif(load_sd_7d, 0) AS load_monotony_7d,
     weekly_load_7d * (acute_load_7d / nullif(load_sd_7d, 0)) AS load_strain_7d,
     hsr_distance_7d, sprint_count_7d, max_speed_28d, sessions_7d, match_minutes_28d, gym_sessions_28d,
+    exposure_7d,
     sleep_hours_3d, sleep_hours_7d, sleep_hours_28d, sleep_variability_7d, sleep_efficiency_7d,
     (hrv_rmssd_ms - hrv_baseline_28d) / nullif(hrv_sd_28d, 0) AS hrv_z,
     (resting_hr_bpm - rhr_baseline_28d) / nullif(rhr_sd_28d, 0) AS rhr_z,
@@ -328,3 +333,66 @@ LEVERS_SQL = ("SELECT lever_id, label, category, metric, feature_shifts, CAST(st
 
 def with_ctes(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body
+
+
+# --------------------------------------------------------------------------- rule scorers in SQL
+from tidepanel.functions.scores import B0_INJURY, NEUTRAL, POP  # noqa: E402
+
+
+def _num(name: str, cols: dict[str, str]) -> str:
+    base = cols.get(name, name)
+    return f"coalesce(CAST({base} AS DOUBLE), {NEUTRAL[name]})" if name in NEUTRAL else base
+
+
+def _clip(x: str, lo: float, hi: float) -> str:
+    return f"least(greatest({x}, {lo}), {hi})"
+
+
+def rating_sql(cols: dict[str, str] | None = None) -> str:
+    c = cols or {}
+    f = lambda n: _num(n, c)
+    fit = (f"(0.35 * (({f('yoyo_ir1_m')} - {POP['yoyo'][0]}) / {POP['yoyo'][1]})"
+           f" + 0.25 * (-({f('sprint_30m_s')} - {POP['sprint'][0]}) / {POP['sprint'][1]})"
+           f" + 0.20 * (({f('cmj_cm')} - {POP['cmj'][0]}) / {POP['cmj'][1]})"
+           f" + 0.20 * (({f('squat_1rm_rel')} - {POP['squat'][0]}) / {POP['squat'][1]}))")
+    dsr = f("days_since_return")
+    acwr = f("acwr")
+    return (f"(0.50 * {fit}"
+            f" + 0.32 * {_clip(f('sleep_hours_3d') + ' - 8.0', -3.0, 0.5)}"
+            f" + 0.12 * {_clip(f('carbs_gpkg_3d') + ' - 6.0', -4.0, 1.5)}"
+            f" + 0.35 * {_clip(f('protein_gpkg_7d') + ' - 1.6', -0.8, 0.3)}"
+            f" + 0.10 * {_clip(f('hydration_l_3d') + ' - 3.0', -1.5, 0.5)}"
+            f" + (-0.9 * {_clip(acwr + ' - 1.3', 0.0, 1.0)} - 0.6 * {_clip('0.8 - ' + acwr, 0.0, 0.5)})"
+            f" + 0.18 * {_clip(f('hrv_z'), -2.5, 2.5)}"
+            f" + -0.30 * (CASE WHEN {dsr} IS NULL THEN 0.0 ELSE CAST({dsr} <= 21 AS DOUBLE) END))")
+
+
+def log_rate_sql(cols: dict[str, str] | None = None) -> str:
+    c = cols or {}
+    f = lambda n: _num(n, c)
+    dsr = f("days_since_return")
+    acwr = f("acwr")
+    return (f"({B0_INJURY}"
+            f" + 1.7 * {_clip(acwr + ' - 1.3', 0.0, 1.2)}"
+            f" + 0.9 * {_clip('0.75 - ' + acwr, 0.0, 0.5)}"
+            f" + 0.30 * {_clip('8.0 - ' + f('sleep_hours_7d'), 0.0, 3.0)}"
+            f" + 0.9 * {_clip('1.6 - ' + f('protein_gpkg_7d'), 0.0, 1.0)}"
+            f" + 0.60 * {_clip('(340.0 - ' + f('nordic_n') + ') / 55.0', 0.0, 2.5)}"
+            f" + 0.22 * least({f('prior_injuries')}, 5.0)"
+            f" + 0.045 * ({f('age_years')} - 26.0)"
+            f" + 0.35 * {_clip('-' + f('hrv_z'), 0.0, 3.0)}"
+            f" + 0.60 * (CASE WHEN {dsr} IS NULL THEN 0.0 ELSE CAST({dsr} >= 1 AND {dsr} <= 14 AS DOUBLE) END))")
+
+
+def risk_sql(cols: dict[str, str] | None = None) -> str:
+    return f"(1.0 - exp(-exp({log_rate_sql(cols)}) * coalesce(exposure_7d, 0.0)))"
+
+
+def band_sql(p: str) -> str:
+    return (f"CASE WHEN {p} >= 0.2 THEN 'Critical' WHEN {p} >= 0.1 THEN 'High' "
+            f"WHEN {p} >= 0.05 THEN 'Moderate' ELSE 'Low' END")
+
+
+def round_to_sql(x: str, digits: int) -> str:
+    scale = float(10 ** digits)
+    return f"(round(({x}) * CAST({scale} AS DOUBLE)) / CAST({scale} AS DOUBLE))"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as C
 from tidepanel.functions import frames as W
+from tidepanel.functions.scores import exposure_weight
 from tidepanel.operators.dedupe import dedupe_latest, flag_rows
 from tidepanel.operators.panel import (Calendar, assemble, calendar_bounds, calendar_series, checked_broadcast,
                                        dense_spine, forward_count, grid, interval_days)
@@ -43,7 +44,7 @@ class Params:
     state_max_age_days: int = 45
 
 
-ZERO_FILLED = ["daily_load", "daily_minutes", "sessions", "match_minutes", "gym_sessions", "rehab_sessions",
+ZERO_FILLED = ["exposure_h", "daily_load", "daily_minutes", "sessions", "match_minutes", "gym_sessions", "rehab_sessions",
                "hsr_distance_m", "sprint_count", "total_distance_m", "injury_onset", "is_unavailable"]
 
 DIM_COLS = ["team_id", "position_code", "position_group", "birth_date", "height_cm", "weight_kg"]
@@ -60,6 +61,7 @@ FEATURES: list[tuple[str, str, str, str, int]] = [
     ("sessions_7d", "sum", "sessions", "prior", 7),
     ("match_minutes_28d", "sum", "match_minutes", "prior", 28),
     ("gym_sessions_28d", "sum", "gym_sessions", "prior", 28),
+    ("exposure_7d", "sum", "exposure_h", "prior", 7),
     ("sleep_hours_3d", "avg", "sleep_hours", "incl", 3),
     ("sleep_hours_7d", "avg", "sleep_hours", "incl", 7),
     ("sleep_hours_28d", "avg", "sleep_hours", "incl", 28),
@@ -178,7 +180,8 @@ class PanelPipeline:
             F.sum("total_distance_m").alias("total_distance_m"),
             F.sum("hsr_distance_m").alias("hsr_distance_m"),
             F.sum("sprint_count").alias("sprint_count"),
-            F.max("max_speed_kmh").alias("max_speed_kmh"))
+            F.max("max_speed_kmh").alias("max_speed_kmh"),
+            F.sum(exposure_weight(t) * F.col("duration_min") / 60.0).alias("exposure_h"))
 
     def _latest_daily(self, df: DataFrame) -> DataFrame:
         return dedupe_latest(df, [E, D], ["l_orderkey", "l_linenumber"])
@@ -308,7 +311,7 @@ class PanelPipeline:
         feeds = [
             (daily, {c: c for c in ["daily_load", "daily_minutes", "sessions", "match_minutes", "gym_sessions",
                                     "rehab_sessions", "hsr_distance_m", "sprint_count", "max_speed_kmh",
-                                    "total_distance_m"]}),
+                                    "total_distance_m", "exposure_h"]}),
             (self.stg_sleep, {"sleep_hours": "sleep_hours", "sleep_efficiency_pct": "sleep_efficiency_pct"}),
             (self.stg_wellness, {c: c for c in ["hrv_rmssd_ms", "resting_hr_bpm", "soreness", "fatigue", "stress", "mood"]}),
             (self.stg_nutrition, {c: c for c in ["protein_gpkg", "carbs_gpkg", "kcal_per_kg", "hydration_l"]}),
@@ -343,7 +346,7 @@ class PanelPipeline:
             C.ratio("acute_load_7d", "load_sd_7d").alias("load_monotony_7d"),
             (F.col("weekly_load_7d") * C.ratio("acute_load_7d", "load_sd_7d")).alias("load_strain_7d"),
             "hsr_distance_7d", "sprint_count_7d", "max_speed_28d", "sessions_7d", "match_minutes_28d",
-            "gym_sessions_28d",
+            "gym_sessions_28d", "exposure_7d",
             "sleep_hours_3d", "sleep_hours_7d", "sleep_hours_28d", "sleep_variability_7d", "sleep_efficiency_7d",
             C.ratio(F.col("hrv_rmssd_ms") - F.col("hrv_baseline_28d"), "hrv_sd_28d").alias("hrv_z"),
             C.ratio(F.col("resting_hr_bpm") - F.col("rhr_baseline_28d"), "rhr_sd_28d").alias("rhr_z"),
