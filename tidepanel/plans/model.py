@@ -100,9 +100,11 @@ class ModelMarts:
     @cached_property
     def recommendations(self) -> DataFrame:
         pr = L.prioritise(self.effects)
+        # Persisted like the reference's recommendation table: every mart and metric below reads it.
         return pr.select(E, F.lit(self.as_of).alias("as_of_date"), "lever_id", "current_value", "target_value",
                          "recommended_step", "expected_rating_gain", "expected_risk_reduction_pp",
-                         "expected_relative_risk_reduction", "priority_score", "priority_rank", "n_state_rows")
+                         "expected_relative_risk_reduction", "priority_score", "priority_rank",
+                         "n_state_rows").persist()
 
     def lever_frame(self) -> DataFrame:
         """LEV3: the edited feature values of every state row under every lever."""
