@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_panel", "q_checks", "q_gap", "q_model", "q_learn"]
+MODULES = ["q_panel", "q_checks", "q_gap", "q_model", "q_learn", "q_extra"]
 
 
 def load():
