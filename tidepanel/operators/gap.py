@@ -32,13 +32,18 @@ def benchmarks(matches: DataFrame, group: str, score: str, metrics: Sequence[str
     """GAP1: per (group, metric) elite median / p25 / p75, whole-group median, elite count."""
     elite = elite_rows(matches, group, score)
     elite_long = to_long(elite, [group], metrics)
-    all_long = to_long(matches, [group], metrics)
     keys = [group, "metric"]
-    universe = elite_long.select(*keys).distinct()
+    # Elite and whole-group rows share one exact ranking pass, told apart by a population tag.
+    both = (elite_long.withColumn("__pop", F.lit("elite"))
+            .unionByName(to_long(matches, [group], metrics).withColumn("__pop", F.lit("all"))))
+    q = percentile_cont(both, [*keys, "__pop"], "value", [0.5, 0.25, 0.75], ["p50", "p25", "p75"])
+    wide = q.groupBy(*keys).agg(
+        F.max(F.when(F.col("__pop") == "elite", F.col("p50"))).alias("elite_median"),
+        F.max(F.when(F.col("__pop") == "elite", F.col("p25"))).alias("elite_p25"),
+        F.max(F.when(F.col("__pop") == "elite", F.col("p75"))).alias("elite_p75"),
+        F.max(F.when(F.col("__pop") == "all", F.col("p50"))).alias("position_median"))
     n = elite_long.groupBy(*keys).agg(F.count("value").alias("n_elite_matches"))
-    q = percentile_cont(elite_long, keys, "value", [0.5, 0.25, 0.75], ["elite_median", "elite_p25", "elite_p75"])
-    med = percentile_cont(all_long, keys, "value", [0.5], ["position_median"])
-    return (universe.join(q, keys, "left").join(med, keys, "left").join(n, keys, "left")
+    return (n.join(wide, keys, "left")
             .select(*keys, "elite_median", "elite_p25", "elite_p75", "position_median", "n_elite_matches"))
 
 

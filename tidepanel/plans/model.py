@@ -67,13 +67,21 @@ class ModelMarts:
 
     @cached_property
     def risk_daily(self) -> DataFrame:
-        """ML18 / JN14: fact x scores (inner) x predictions (left)."""
-        f = self.p.fact.select(E, D, "team_id", "position_group", "acwr", "acwr_zone", "acute_load_7d",
-                               "chronic_load_28d", "sleep_hours_7d", "hrv_z", "readiness_score", "is_unavailable",
-                               F.col("injury_next_7d").alias("actual_injury_next_7d"), "label_is_complete")
-        r = self.risk_scores.select(E, D, "injury_risk_7d", "risk_band", "data_split")
-        pr = self.rating_predictions.select(E, D, "predicted_rating")
-        return f.join(r, [E, D], "inner").join(pr, [E, D], "left")
+        """ML18 / JN14: fact x scores (inner) x predictions (left).
+
+        Scores and predictions are projections of exactly the available fact
+        rows, so the two joins of the reference collapse into one filter and
+        one projection over the persisted fact: no shuffle.
+        """
+        a = self.available
+        split = C.add_split(D, self.p.p.train_end, self.p.p.val_end)
+        risk = S.risk_7d()
+        return a.select(E, D, "team_id", "position_group", "acwr", "acwr_zone", "acute_load_7d", "chronic_load_28d",
+                        "sleep_hours_7d", "hrv_z", "readiness_score", "is_unavailable",
+                        F.col("injury_next_7d").alias("actual_injury_next_7d"), "label_is_complete",
+                        risk.alias("injury_risk_7d"), C.risk_band(risk).alias("risk_band"),
+                        F.when(F.col("label_is_complete") == 1, split).otherwise("scoring_only").alias("data_split"),
+                        S.rating_signal().alias("predicted_rating"))
 
     # ------------------------------------------------------------------ levers
     @cached_property
@@ -141,13 +149,14 @@ class ModelMarts:
                                      F.col("risk_band").alias("current_risk_band"),
                                      F.col("predicted_rating").alias("current_expected_rating"))
         st = state_df(self.p).select(E, "risk_flags")
+        # Persisted: squad overview, needs and the dashboards all read the plan.
         return (r.join(cat, "lever_id", "inner").join(d, E, "inner").join(g, [E, "metric"], "left")
                 .join(lr, E, "left").join(st, E, "left")
                 .select(E, "team_id", "position_code", "position_group", "as_of_date", "priority_rank", "lever_id",
                         "lever", "category", "unit", "current_value", "target_value", "recommended_step",
                         "expected_rating_gain", "expected_risk_reduction_pp", "priority_score", "metric_status",
                         "percentile_in_position", "horizon", "coaching_action", "current_injury_risk_7d",
-                        "current_risk_band", "current_expected_rating", "risk_flags"))
+                        "current_risk_band", "current_expected_rating", "risk_flags").persist())
 
     @cached_property
     def latest_day_risk(self) -> DataFrame:

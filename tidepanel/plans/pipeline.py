@@ -47,7 +47,10 @@ class Params:
 ZERO_FILLED = ["exposure_h", "daily_load", "daily_minutes", "sessions", "match_minutes", "gym_sessions", "rehab_sessions",
                "hsr_distance_m", "sprint_count", "total_distance_m", "injury_onset", "is_unavailable"]
 
-DIM_COLS = ["team_id", "position_code", "position_group", "birth_date", "height_cm", "weight_kg"]
+# Fixed-width dimension values ride along with the spine through the union-aggregate (all buffers are
+# mutable fixed-width, so it runs as a code-generated HashAggregate); the string labels are joined after.
+DIM_COLS = ["team_id", "birth_date", "height_cm", "weight_kg"]
+DIM_LABELS = ["position_code", "position_group"]
 
 # Rolling features: (name, aggregate, input column, frame, width). One select, one Window.
 FEATURES: list[tuple[str, str, str, str, int]] = [
@@ -280,7 +283,7 @@ class PanelPipeline:
 
     @cached_property
     def team_schedule(self) -> DataFrame:
-        teams = self.stg_entities.select("team_id").distinct()
+        teams = self.feeds.entities().select("team_id").distinct()
         g = grid(teams, self.calendar)
         match_days = flag_rows(self.stg_fixtures, ["team_id", D], "is_match_day")
         flagged = (g.join(match_days, ["team_id", D], "left")
@@ -322,8 +325,11 @@ class PanelPipeline:
             (self.match_form, {"form_incl": "form_rating_5m"}),
         ]
         panel = assemble(self.spine, feeds, zero_fill=ZERO_FILLED, spine_cols=("day_index", *DIM_COLS))
+        raw = self.feeds.entities().select(E, C.normalise_code("position").alias("position_code"))
+        labels = checked_broadcast(raw.join(F.broadcast(self.feeds.groups()), "position_code", "left")
+                                   .select(E, *DIM_LABELS))
         sched = checked_broadcast(self.team_schedule)
-        return panel.join(sched, ["team_id", D], "left")
+        return panel.join(labels, E, "inner").join(sched, ["team_id", D], "left")
 
     # ================================================================ features (FCT2)
     @cached_property
@@ -338,7 +344,8 @@ class PanelPipeline:
         return wide.select(
             E, D, "day_index", "team_id", "position_code", "position_group", "height_cm", "weight_kg",
             C.age_years("birth_date", D).alias("age_years"),
-            "daily_load", "daily_minutes", "sessions", "match_minutes", "hrv_rmssd_ms", "resting_hr_bpm",
+            "daily_load", "daily_minutes", "sessions", "rehab_sessions", "match_minutes", "hrv_rmssd_ms",
+            "resting_hr_bpm",
             "sleep_hours", "soreness", "fatigue", "stress", "mood", "is_match_day", "matches_next_7d",
             "is_unavailable", "injury_onset",
             "acute_load_7d", "chronic_load_28d",

@@ -95,7 +95,7 @@ def dq_label_window(spark, sf_dir):
 SELECT entity_id, date_day, sessions, rehab_sessions FROM base
 WHERE is_unavailable = 1 AND sessions - rehab_sessions > 0"""))
 def dq_contradiction(spark, sf_dir):
-    return Q.contradiction(pp(spark, sf_dir).base, [E, D])
+    return Q.contradiction(pp(spark, sf_dir).fact, [E, D])
 
 
 @register("dq_label_names", with_ctes(FEATURE_CTES, """
@@ -167,7 +167,7 @@ def dq_suite(spark, sf_dir):
         ("not_null", "stg_sessions", Q.not_null(p.stg_sessions, "max_speed_kmh")),
         ("unique_combination", "raw_sessions", Q.unique_combination(p.feeds.sessions(), ["l_orderkey", "l_linenumber"])),
         ("row_parity", "fct_entity_day", Q.row_parity(p.spine, p.fact)),
-        ("contradiction", "entity_day_base", Q.contradiction(p.base, [E, D])),
+        ("contradiction", "entity_day_base", Q.contradiction(p.fact, [E, D])),
         ("recompute", "rolling_features",
          Q.recompute_diff(acwr_recompute(p), p.fact.select(E, D, "acwr"), [E, D], "acwr_check", "acwr")),
     ])

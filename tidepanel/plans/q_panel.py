@@ -149,8 +149,8 @@ def _lag_sum(col, k):
 
 
 def acwr_recompute(p):
-    """WIN21: ratio re-derived from explicit lags (independent of frame code)."""
-    b = p.base.select(E, D, "day_index", "daily_load")
+    """WIN21: ratio re-derived from explicit lags (independent of frame code), read from the persisted fact."""
+    b = p.fact.select(E, D, "day_index", "daily_load")
     lagged = b.select(E, D, "day_index", _lag_sum("daily_load", 7).alias("sum7"), _lag_sum("daily_load", 28).alias("sum28"))
     return (lagged.where(F.col("day_index") > 28)
             .select(E, D, F.try_divide(F.col("sum7") / 7.0, F.when(F.col("sum28") != 0, F.col("sum28") / 28.0))
