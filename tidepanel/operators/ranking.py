@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.session import cut_lineage, shuffle_partitions
+from tidepanel.session import cut_lineage
 
 _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -37,9 +37,10 @@ def exact_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], nam
         k = f"__k{i}"
         keyed = keyed.withColumn(k, -F.col(c) if descending else F.col(c))
         sort_cols.append(k)
-    n = max(shuffle_partitions(df.sparkSession), 1)
     keys = [*by, *sort_cols]
-    ranged = keyed.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # No explicit count: the session's shuffle partitions apply and AQE may merge adjacent ranges, which keeps
+    # slice order (and so the offsets) intact while small inputs do not pay for hundreds of empty slices.
+    ranged = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)
     numbered = cut_lineage(ranged.withColumn("__mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("__mid"), _PID_SHIFT)
     stats = (numbered.groupBy(pid.alias("__pid"), *by)
@@ -127,8 +128,7 @@ def running_totals(df: DataFrame, order: Sequence[str], cols: Sequence[str], des
         k = f"__k{i}"
         keyed = keyed.withColumn(k, -F.col(c) if descending else F.col(c))
         sort_cols.append(k)
-    n = max(shuffle_partitions(df.sparkSession), 1)
-    ranged = keyed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    ranged = keyed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
     numbered = cut_lineage(ranged.withColumn("__mid", F.monotonically_increasing_id())
                            .withColumn("__pid", F.shiftright(F.col("__mid"), _PID_SHIFT)))
     totals = numbered.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])

@@ -35,8 +35,12 @@ def spread(df: DataFrame) -> DataFrame:
     fewer splits than task slots is round-robin repartitioned once, and every
     feed derived from it reuses that exchange.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 class SupplierFeeds:
