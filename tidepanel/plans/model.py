@@ -25,9 +25,9 @@ E, D = "entity_id", "date_day"
 
 
 def round_to(c, digits: int):
-    """round(x * 10^d) / 10^d: the same double in Spark and SQL engines (no half-way drift)."""
+    """floor(x * 10^d + 0.5) / 10^d: the same double in Spark and SQL engines, without BigDecimal."""
     scale = float(10 ** digits)
-    return F.round(c * scale) / scale
+    return F.floor(c * scale + 0.5) / scale
 
 LEVER_FEATURES = ["sleep_hours_3d", "sleep_hours_7d", "sleep_hours_28d", "protein_gpkg_7d", "carbs_gpkg_3d",
                   "carbs_gpkg_7d", "hydration_l_3d", "hydration_l_7d", "acute_load_7d", "yoyo_ir1_m",

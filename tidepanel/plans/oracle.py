@@ -395,4 +395,4 @@ def band_sql(p: str) -> str:
 
 def round_to_sql(x: str, digits: int) -> str:
     scale = float(10 ** digits)
-    return f"(round(({x}) * CAST({scale} AS DOUBLE)) / CAST({scale} AS DOUBLE))"
+    return f"(floor(({x}) * CAST({scale} AS DOUBLE) + 0.5) / CAST({scale} AS DOUBLE))"
