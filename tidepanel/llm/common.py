@@ -72,3 +72,24 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
         state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def groups_of(parts, key: str):
+    """Consecutive groups of a stream of batches sorted by ``key``, each as one frame."""
+    import numpy as np
+    import pandas as pd
+
+    held, name = [], None
+    for part in parts:
+        if not len(part):
+            continue
+        k = part[key].to_numpy()
+        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1), len(k)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and k[a] != name:
+                yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+                held = []
+            name = k[a]
+            held.append(part.iloc[a:b])
+    if held:
+        yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)

@@ -43,7 +43,7 @@ def load_pieces(path: str) -> dict:
 class PieceCounter:
     def __init__(self, model: dict):
         self.scores, self.prefix = model["scores"], model["prefix"]
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = model.setdefault("known", {})  # broadcast, a worker fills it over all its tasks
         self.segments = None
         if model["by_mark"]:
             rest = f"[^{MARK}\n]" if model["by_line"] else f"[^{MARK}]"

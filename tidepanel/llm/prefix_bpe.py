@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 
 import pandas as pd
 import regex
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Chunks a worker remembers, and the longest one it does.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 500_000, 48
 #: A chunk is white space and what follows up to the next white space. Matches of the split patterns
 #: supported here never run from other characters on into white space, so chunks split alone.
 _CHUNKS = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+").findall
@@ -32,13 +33,41 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def encoder_state(ranks: dict[bytes, int]) -> dict:
+    """What an encoder works with, as plain dictionaries: broadcast, a worker fills them over all its tasks."""
+    return {"ranks": ranks, "tails": {t[i:] for t in ranks for i in range(len(t))}, "bytes_of": {r: t for t, r in ranks.items()}, "digits": {r: str(r) for r in ranks.values()}, "split": {}, "pairs": {}, "chunks": {}, "pieces": {}}
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as native 32-bit numbers: small, and nothing for the garbage collector to walk."""
+    return array("i", ids).tobytes()
+
+
+class Remembered:
+    """A dictionary of bounded size: when full, what was not asked for since the last time goes."""
+
+    def __init__(self, store: dict):
+        self.store = store
+        store.setdefault("new", {})
+        store.setdefault("old", {})
+
+    def get(self, key):
+        value = self.store["new"].get(key)
+        if value is None and (value := self.store["old"].get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value):
+        if len(self.store["new"]) >= REMEMBERED:
+            self.store["old"], self.store["new"] = self.store["new"], {}
+        self.store["new"][key] = value
+
+
 class PrefixEncoder:
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.longest = max(map(len, ranks), default=1)
-        self.bytes_of = {r: t for t, r in ranks.items()}
-        self.split: dict[bytes, tuple[bytes, bytes] | None] = {}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+    def __init__(self, state: dict):
+        self.ranks, self.tails, self.bytes_of, self.split = (state[k] for k in ("ranks", "tails", "bytes_of", "split"))
+        self.longest = max(map(len, self.ranks), default=1)
+        self.pairs: dict[tuple[bytes, bytes], bool] = state["pairs"]
 
     def merged(self, data: bytes, least: int = 1) -> list[bytes]:
         """BPE by definition, down to ``least`` parts; only ever run on a single token."""
@@ -65,7 +94,7 @@ class PrefixEncoder:
         """
         ok = self.pairs.get((a, b))
         if ok is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= 2 * REMEMBERED:
                 self.pairs.clear()
             ok = self.pairs[a, b] = self._follows(a, b)
         return ok
@@ -86,17 +115,24 @@ class PrefixEncoder:
 
     def extend(self, data: bytes, last: list[int], to: int | None = None) -> list[int]:
         """Grow the table (last[i]: length of the valid last token of data[:i], last[0] = 0) up to ``to`` bytes."""
-        ranks, pairs, longest = self.ranks, self.pairs, self.longest
+        ranks, pairs, tails = self.ranks, self.pairs, self.tails
         for i in range(len(last), (len(data) if to is None else to) + 1):
-            for start in range(max(0, i - longest), i):
-                token = data[start:i]
-                if token in ranks and (i - start == 1 or self.halves(token)):
-                    if not start:
-                        break
-                    before = data[start - last[start]:start]
-                    ok = pairs.get((before, token))
-                    if ok or ok is None and self.follows(before, token):
-                        break
+            fits, start = [], i - 1
+            while start >= 0 and (token := data[start:i]) in tails:
+                if token in ranks:
+                    fits.append(token)
+                start -= 1
+            while fits:
+                token = fits.pop()  # the longest first
+                start = i - len(token)
+                if start + 1 < i and not self.halves(token):
+                    continue
+                if not start:
+                    break
+                before = data[start - last[start]:start]
+                ok = pairs.get((before, token))
+                if ok or ok is None and self.follows(before, token):
+                    break
             else:
                 raise ValueError("the ranks lack a byte")
             last.append(i - start)
@@ -130,55 +166,83 @@ class PrefixEncoder:
         rank = self.ranks.get(piece)
         if rank is not None:  # as the library does: a whole match in the vocabulary is its token
             return [rank]
+        return self.taken(piece, self.extend(piece, [0]))
+
+    def taken(self, piece: bytes, last: list[int]) -> list[int]:
         start, out = 0, []
-        for end in self.spans(self.extend(piece, [0])):
+        for end in self.spans(last):
             out.append(self.ranks[piece[start:end]])
             start = end
         return out
 
 
 class TextEncoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.piece = PrefixEncoder(ranks)
+    def __init__(self, state: dict, pattern: str):
+        self.piece = PrefixEncoder(state)
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.digits = state["digits"]
+        self.chunks, self.pieces = Remembered(state["chunks"]), Remembered(state["pieces"])
 
-    def _chunk(self, chunk: str) -> list[int]:
-        found = self.find(chunk)
-        return self._piece(found[0]) if len(found) == 1 else [i for m in found for i in self._piece(m)]
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join([self._piece(m) for m in self.find(chunk)])
 
-    def _piece(self, match: str) -> list[int]:
+    def _piece(self, match: str) -> bytes:
         ids = self.pieces.get(match)
-        if ids is None:
-            ids = self.piece.encode_piece(match.encode())
-            if len(match) <= LONGEST:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[match] = ids
-        return ids
+        return packed(self.piece.encode_piece(match.encode())) if ids is None else ids
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode what is new in sorted order: each piece appends to the table of what it shares with the one before."""
+        new = {m for c in chunks for m in self.find(c) if self.pieces.get(m) is None}
+        before, last = b"", [0]
+        for m in sorted(new):
+            data = m.encode()
+            same = 0
+            for x, y in zip(before, data):
+                if x != y:
+                    break
+                same += 1
+            last = self.piece.extend(data, last[:same + 1])
+            before = data
+            rank = self.piece.ranks.get(data)
+            self.pieces.put(m, packed(self.piece.taken(data, last) if rank is None else [rank]))
+        for c in chunks:
+            self.chunks.put(c, self._chunk(c))
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if _ODD(text):
-            return self._chunk(text)
-        known, out = self.known, []
-        for c in _CHUNKS(text):
-            ids = known.get(c)
-            if ids is None:
-                ids = self._chunk(c)
-                if len(c) <= LONGEST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[c] = ids
-            out += ids
-        return out
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
+        split = [None if not t or _ODD(t) else _CHUNKS(t) for t in texts]
+        chunks = {c for x in split if x for c in x}
+        long = {c: self._chunk(c) for c in chunks if len(c) > LONGEST}
+        old = self.chunks.store["old"]
+        for c in chunks & old.keys() - self.chunks.store["new"].keys():
+            self.chunks.put(c, old[c])
+        self._learn({c for c in chunks - self.chunks.store["new"].keys() if len(c) <= LONGEST})
+        return [memoryview(self._chunk(t) if x is None and t else self._joined(x or (), long)).cast("i").tolist() for t, x in zip(texts, split)]
+
+    def _joined(self, chunks, long: dict[str, bytes]) -> bytes:
+        try:
+            return b"".join(map(self.chunks.store["new"].__getitem__, chunks))
+        except KeyError:
+            return b"".join([self.chunks.get(c) or long.get(c) or self._chunk(c) for c in chunks])
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.piece.bytes_of.__getitem__, ids))
 
 
+def _in_blocks(coder: TextEncoder, texts, size: int = 4_000_000):
+    """Ids of every text; texts are taken together up to so many characters."""
+    block, chars = [], 0
+    for t in texts:
+        block.append(t)
+        chars += len(t or "")
+        if chars >= size:
+            yield from coder.encode_all(block)
+            block, chars = [], 0
+    yield from coder.encode_all(block)
+
+
 def round_trip(documents: DataFrame, ranks_path: str, pattern: str, with_ids: bool = True, with_text: bool = False,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text and decode its ids again, one row per input row.
@@ -188,20 +252,19 @@ def round_trip(documents: DataFrame, ranks_path: str, pattern: str, with_ids: bo
     empty one: no ids. Rows are independent, so repeated rows, ties and null ids come out as they went
     in; texts of any length are encoded whole. Other columns are ignored.
     """
-    ranks = documents.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))  # as large as the vocabulary file
+    state = documents.sparkSession.sparkContext.broadcast(encoder_state(load_ranks(ranks_path)))  # grows with the vocabulary file alone
     spec = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded binary" * with_text
 
     def run(parts):
-        coder = TextEncoder(ranks.value, pattern)
+        coder = TextEncoder(state.value, pattern)
         sha = hashlib.sha256
         for part in parts:
             out = {"id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if with_ids else {}) | ({"decoded": []} if with_text else {})
             out["id"] = part["id"]
-            for text in part["text"]:
-                ids = coder.encode(text)
+            for ids in _in_blocks(coder, part["text"]):
                 back = coder.decode(ids)
                 out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(sha(",".join(map(str, ids)).encode()).hexdigest())
+                out["ids_sha256"].append(sha(",".join(map(coder.digits.__getitem__, ids)).encode()).hexdigest())
                 out["decoded_sha256"].append(sha(back).hexdigest())
                 if with_ids:
                     out["ids"].append(ids)

@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepanel.llm import divergence, metric_join, piece_count, prefix_bpe
+from tidepanel.llm import divergence, jaccard_join, line_spread, metric_join, mixing, piece_count, prefix_bpe, suffix_dedup, surrogates, weak_toxicity
 from tidepanel.llm.common import read
 
+#: Stands for the secret that a deployment passes to the operator.
+SURROGATE_KEY = "surrogates-v1"
+
 
 def op1_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_duplicates(read(spark, sf_dir, "embeddings"))
@@ -17,14 +20,39 @@ def op2_divergence_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(read(spark, sf_dir, "documents"))
 
 
+def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.remove_spread_lines(read(spark, sf_dir, "documents")).select("doc_id", "source", "n_removed", "text")
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(read(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), keep=["doc_id"])
+
+
+def op6_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(read(spark, sf_dir, "documents"))
+
+
 def op8_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                  public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_metric_range_join, op2_divergence_quality, op8_piece_counts, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_metric_range_join, op2_divergence_quality, op3_line_spread, op4_surrogates, op5_soft_mixing,
+                                   op6_weak_toxicity, op7_jaccard_rtree, op8_piece_counts, op9_deep_shallow, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
