@@ -10,7 +10,7 @@ then by hash) two sets of similarity p % share a shingle among the first n - cei
 so documents that share such a shingle form a block with a tree of its own. The order decides only how
 large blocks get, never a result; what is common is read off a bounded sample.
 
-Equal sets are one class. In a first step documents that share one of their first few shingles are verified
+Equal sets are one class. In a first step documents that share one of their few least shingle hashes are verified
 and joined, inside blocks of bounded size that all hold the same few members of their bucket. So a group of
 near copies is one component before the full search, which only looks at pairs between different components.
 """
@@ -109,7 +109,11 @@ def similar(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
     return 100 * both >= pct * (len(a) + len(b) - both)
 
 
-def _sets(size: int, pct: int, common):
+#: Leading shingles are buckets of their own, apart from those of the prefix.
+_LEAD = np.uint64(0xA5A5A5A55A5A5A5A)
+
+
+def _sets(size: int, pct: int, common, leads: int = 0):
     def run(parts):
         words = _Words()
         late = common.value if common is not None else np.empty(0, dtype="u8")
@@ -118,8 +122,8 @@ def _sets(size: int, pct: int, common):
             for text in part["text"]:
                 h = shingles(text, size, words)
                 key = hashlib.md5(h.tobytes()).digest() if len(h) else None
-                out.append((len(h), key, counts(h).astype("u4").tobytes(), prefix(h, pct, late).view("i8")))
-            yield pd.DataFrame(out, columns=["n", "key", "point", "first"]).assign(id=part["id"].astype("Int64"))
+                out.append((len(h), key, counts(h).astype("u4").tobytes(), prefix(h, pct, late).view("i8"), (h[:leads] ^ _LEAD).view("i8")))
+            yield pd.DataFrame(out, columns=["n", "key", "point", "first", "lead"]).assign(id=part["id"].astype("Int64"))
     return run
 
 
@@ -230,7 +234,7 @@ def _verify(pct: int):
 
 
 def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample_rows: int = 4000, common_in_sample: int = 8,
-                      max_common: int = 50_000, leads: int = 3, chunk_rows: int = 1500, chunk_items: int = 400_000, seeds: int = 8,
+                      max_common: int = 50_000, leads: int = 4, chunk_rows: int = 1500, chunk_items: int = 400_000, seeds: int = 8,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
@@ -244,13 +248,13 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = max(1, rows.count())
     seen = (rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1, sample_rows / total)) + 1)
-            .mapInPandas(_sets(size, 0, None), "id long, n int, key binary, point binary, first array<long>")
+            .mapInPandas(_sets(size, 0, None), "id long, n int, key binary, point binary, first array<long>, lead array<long>")
             .select(F.explode("first").alias("s")).groupBy("s").count().where(F.col("count") >= common_in_sample)
             .orderBy(F.desc("count"), "s").limit(max_common).select("s").toPandas()["s"])
     common = spark.sparkContext.broadcast(np.sort(seen.to_numpy(dtype="i8").view("u8")))  # max_common numbers at most
-    base = tables.write(rows.mapInPandas(_sets(size, pct, common), "id long, n int, key binary, point binary, first array<long>"))
-    classes = base.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("first").alias("first"))
-    postings = classes.select("id", "n", F.posexplode("first").alias("at", "s")).select("s", "id", "n", (F.col("at") < leads).alias("lead"))
+    base = tables.write(rows.mapInPandas(_sets(size, pct, common, leads), "id long, n int, key binary, point binary, first array<long>, lead array<long>"))
+    classes = base.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("lead").alias("lead"))
+    postings = classes.select("id", "n", F.explode("first").alias("s"), F.lit(False).alias("lead")).unionByName(classes.select("id", "n", F.explode("lead").alias("s"), F.lit(True).alias("lead")))
     shared = tables.write(postings.repartition("s").sortWithinPartitions("s", "id").mapInPandas(_shared(chunk_rows, chunk_items), "s long, id long, n int, lead boolean, chunk long"))
     names = base.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"))
     wanted = names.join(shared.select("id").distinct(), "id", "left_semi")
@@ -266,7 +270,7 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     joined = components(links, tables).withColumnRenamed("node", "id")
 
     # Then every shared shingle, for pairs between components; a large bucket is searched chunk against chunk.
-    known = tables.write(shared.select("s", "id", "chunk").join(joined, "id", "left").select("s", "id", "chunk", F.coalesce("component", "id").alias("comp")))
+    known = tables.write(shared.where("NOT lead").select("s", "id", "chunk").join(joined, "id", "left").select("s", "id", "chunk", F.coalesce("component", "id").alias("comp")))
     open_ = known.groupBy("s").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), (F.max("chunk") + 1).alias("chunks"), F.count("*").alias("size"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members")).where("low <> high")
     # Buckets with the same members are searched once.
     open_ = open_.groupBy("members", "size", "chunks", "low", "high").agg(F.min("s").alias("s"))

@@ -22,6 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.llm.common import Tables
+from tidepanel.llm.jaccard_join import _Words, shingles
+
 _WORD = re.compile(r"[^\W_]+").findall
 BEGINNINGS = (4, 5, 6)
 REMEMBERED = 300_000
@@ -45,6 +48,25 @@ def _mined(parts):
         yield pd.DataFrame({"feature": names, "clean": [seen[0][f] for f in names], "toxic": [seen[1][f] for f in names]})
 
 
+def _signed(parts):
+    """Four min-hashes of the shingles of each text, for leaving copies out of the training rows."""
+    words, turns = _Words(), np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype="u8")
+    for part in parts:
+        out = []
+        for text in part["text"]:
+            h = shingles(text, 5, words)
+            out.append([int(x) for x in (h[:, None] * turns).min(axis=0).view("i8")] if len(h) else [])
+        yield part.assign(sign=out)
+
+
+def _apart(train: DataFrame) -> DataFrame:
+    """Rows that don't share two of their four signs with rows of smaller ids: of many near copies one counts."""
+    firsts = train.select("id", F.posexplode("sign").alias("at", "sign"))
+    least = firsts.groupBy("at", "sign").agg(F.min("id").alias("first"))
+    late = firsts.join(least, ["at", "sign"]).where("id <> first").groupBy("id").count().where("count > 1").select("id")
+    return train.join(late, "id", "left_anti").select("text", "toxic")
+
+
 class Presence:
     """Ids of the chosen features that a text has."""
 
@@ -88,7 +110,7 @@ def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int
     return post, rate, weight
 
 
-def fit_linear(rows: list[list[int]], target: np.ndarray, n: int, ridge: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_linear(rows: list[list[int]], target: np.ndarray, n: int, ridge: float = 1e-5, steps: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on soft targets by accelerated gradient steps; rows hold the ids of present features."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([c for r in rows for c in r], dtype="i8")
@@ -114,14 +136,20 @@ def fit(documents: DataFrame, labels: DataFrame, max_train: int, max_voters: int
     total = known.count()
     share = F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, max_train / max(1, total)))
     train = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(share & free)
-             .join(known.where(share), "id").select("text", "toxic"))
+             .join(known.where(share), "id").select("id", "text", "toxic"))
+    tables = Tables(spark, "toxicity")
+    signed = tables.write(train.mapInPandas(_signed, "id long, text string, toxic int, sign array<long>"))
+    train = tables.write(_apart(signed))
+    tables.drop(signed)
     mined = train.mapInPandas(_mined, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("clean") + F.col("toxic") >= min_support)
     sums = train.agg(F.sum("toxic"), F.count("*")).first()
     pos, neg = int(sums[0] or 0), int((sums[1] or 0) - (sums[0] or 0))
     if not pos or not neg:
         return {"ids": {}, "weights": np.zeros(0), "intercept": 30.0 if pos else -30.0}
-    p, q = (F.col("toxic") + 0.5) / (pos + 1), (F.col("clean") + 0.5) / (neg + 1)
-    z = F.log(p / q) / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    both, share1 = F.col("toxic") + F.col("clean"), pos / (pos + neg)
+    # Root of the likelihood ratio against "as often toxic as any row", signed by its direction.
+    term = lambda n, e: F.when(n > 0, n * F.log(n / e)).otherwise(0.0)
+    z = F.signum(F.col("toxic") - share1 * both) * F.sqrt(F.abs(2 * (term(F.col("toxic"), share1 * both) + term(F.col("clean"), (1 - share1) * both))))
     top = mined.withColumn("z", z).orderBy(F.desc(F.abs("z")), "feature").limit(max_features).toPandas()
     ids = {f: i for i, f in enumerate(top["feature"])}
     state = spark.sparkContext.broadcast({"ids": ids, "known": {}})  # max_features entries
@@ -133,7 +161,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_train: int, max_voters: int
 
     rows = [list(x) for x in train.select("text").mapInPandas(found, "hits array<int>").toPandas()["hits"]]  # about max_train rows
     p, q = (top["toxic"] + 0.5) / (pos + 1), (top["clean"] + 0.5) / (neg + 1)
-    voters = np.flatnonzero((top["z"] > 3) & (p / q > 4))[:max_voters]
+    voters = np.flatnonzero((top["z"] > 4) & (p / q > 4))[:max_voters]
     kinds = sorted({f[0] for f in top["feature"].iloc[voters]})
     votes = np.zeros((len(rows), len(voters) + len(kinds)))
     slot = {int(v): j for j, v in enumerate(voters)}
