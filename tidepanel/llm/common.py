@@ -75,21 +75,24 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
 
 
 def groups_of(parts, key: str):
-    """Consecutive groups of a stream of batches sorted by ``key``, each as one frame."""
+    """Consecutive groups of a stream of batches sorted by ``key``: of each, its columns as lists."""
     import numpy as np
-    import pandas as pd
 
-    held, name = [], None
+    held = None
     for part in parts:
         if not len(part):
             continue
         k = part[key].to_numpy()
-        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1), len(k)]
-        for a, b in zip(cuts, cuts[1:]):
-            if held and k[a] != name:
-                yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
-                held = []
-            name = k[a]
-            held.append(part.iloc[a:b])
-    if held:
-        yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+        data = {c: part[c].tolist() for c in part.columns}
+        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            group = {c: v[a:b] for c, v in data.items()}
+            if held is not None and not i and held[key][0] == group[key][0]:
+                for c, v in group.items():
+                    held[c] += v
+                continue
+            if held is not None:
+                yield held
+            held = group
+    if held is not None:
+        yield held

@@ -174,22 +174,21 @@ def _shared(chunk_rows: int, chunk_items: int):
     return run
 
 
-def _unpack(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    points = np.frombuffer(b"".join(part["point"]), dtype="u4").reshape(len(part), GROUPS).astype("i8")
-    return points, part["n"].to_numpy()
+def _points(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), dtype="u4").reshape(len(raw), GROUPS).astype("i8")
 
 
 def _join_block(pct: int):
     """Verified links of a block, as many as join its components."""
     def run(parts):
         for part in groups_of(parts, "block"):
-            part = part[part["items"].notna()].drop_duplicates("id").sort_values(["n", "id"], ignore_index=True)
-            if len(part) < 2:
+            members = sorted({(n, i): (p, x) for n, i, p, x in zip(part["n"], part["id"], part["point"], part["items"])}.items())
+            if len(members) < 2:
                 continue
-            points, n = _unpack(part)
-            sets = [np.frombuffer(x, dtype="u8") for x in part["items"]]
-            tree, label, ids, out = CountTree(points, n), np.arange(len(part)), part["id"].to_numpy(), []
-            for i in range(1, len(part)):
+            points, n = _points([v[0] for _, v in members]), np.array([k[0] for k, _ in members])
+            sets = [np.frombuffer(v[1], dtype="u8") for _, v in members]
+            tree, label, ids, out = CountTree(points, n), np.arange(len(members)), [k[1] for k, _ in members], []
+            for i in range(1, len(members)):
                 near = tree.partners(points[i], n[i], pct)
                 near = np.sort(near[near < i])
                 while len(near := near[label[near] != label[i]]):
@@ -206,20 +205,22 @@ def _search_block(pct: int):
     """Pairs of different components that the tree's bound lets through: the lower chunk is the tree."""
     def run(parts):
         for part in groups_of(parts, "block"):
-            left, right = part[part["side"] == 0], part[part["side"] != 0]
+            side, ids, comp, n = (np.array(part[c]) for c in ("side", "id", "comp", "n"))
+            points = _points(part["point"])
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side != 0)
             one = not len(right)
             right = left if one else right
-            (points, n), (asks, m) = _unpack(left), _unpack(right)
-            tree, a, b = CountTree(points, n), left["id"].to_numpy(), right["id"].to_numpy()
-            ca, cb = left["comp"].to_numpy(), right["comp"].to_numpy()
-            out = []
-            for j in range(len(b)):
-                near = tree.partners(asks[j], m[j], pct)
-                near = near[ca[near] != cb[j]]
+            if not len(left):
+                continue
+            tree, out = CountTree(points[left], n[left]), []
+            for j, r in enumerate(right):
+                near = tree.partners(points[r], n[r], pct)
                 if one:
                     near = near[near < j]
+                near = left[near]
+                near = near[comp[near] != comp[r]]
                 if len(near):
-                    out.append(np.c_[np.minimum(a[near], b[j]), np.maximum(a[near], b[j])])
+                    out.append(np.c_[np.minimum(ids[near], ids[r]), np.maximum(ids[near], ids[r])])
             if out:
                 yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
     return run

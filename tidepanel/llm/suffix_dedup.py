@@ -147,9 +147,10 @@ def deep_shallow(strings: list[bytes]) -> list[int]:
 
 
 def repeats(lefts: list[bytes], rights: list[bytes], window: int) -> list[tuple[int, int, int]]:
-    """(occurrence, bytes to the left, bytes to the right) that some other occurrence repeats, widest ones.
+    """(occurrence, bytes to the left, bytes to the right) that other occurrences repeat, the most of each.
 
-    lefts are reversed: they run away from the anchor.
+    lefts are reversed: they run away from the anchor. What one occurrence shares with others always spans the
+    anchor, so the union over the others is one span.
     """
     m = len(lefts)
     if m == 2:
@@ -159,24 +160,38 @@ def repeats(lefts: list[bytes], rights: list[bytes], window: int) -> list[tuple[
     rank = np.empty(m, dtype="i8")
     rank[by_right] = np.arange(m)
     table = [np.array([common_length(rights[i], rights[j]) for i, j in zip(by_right, by_right[1:])])]
+    widest = int(table[0].max())
+    by_left = deep_shallow(lefts)
+    agree = [common_length(lefts[i], lefts[j]) for i, j in zip(by_left, by_left[1:])]
+    if max(agree) + widest < window:
+        return []
     while 2 ** len(table) <= m - 1:  # minima over runs of 1, 2, 4, ... neighbours
         half = 2 ** (len(table) - 1)
         table.append(np.minimum(table[-1][:-half], table[-1][half:]))
-    by_left = np.array(deep_shallow(lefts))
-    agree = [common_length(lefts[i], lefts[j]) for i, j in zip(by_left, by_left[1:])]
-    best: dict[tuple[int, int], int] = {}
+    place = rank[by_left]
+    lo, hi = np.zeros(m, dtype="i8"), np.zeros(m, dtype="i8")  # by rank
 
     def node(low: int, high: int, depth: int) -> None:
-        ranks = np.sort(rank[by_left[low:high]])
+        if depth + widest < window:
+            return
+        if high - low == 2:
+            a, b = place[low], place[low + 1]
+            r = common_length(rights[by_right[a]], rights[by_right[b]])
+            if depth + r >= window:
+                for x in (a, b):
+                    lo[x], hi[x] = max(lo[x], depth), max(hi[x], r)
+            return
+        ranks = np.sort(place[low:high])
         a, b = ranks[:-1], ranks[1:]
-        level = np.frompyfunc(int.bit_length, 1, 1)((b - a).astype(object)).astype("i8") - 1
+        level = np.frexp(b - a)[1] - 1
         shared = np.empty(len(a), dtype="i8")
-        for k in np.unique(level):
+        for k in range(level.min(), level.max() + 1):
             at = level == k
             shared[at] = np.minimum(table[k][a[at]], table[k][b[at] - 2 ** k])
         right = np.maximum(np.r_[shared, 0], np.r_[0, shared])
-        for r in np.flatnonzero(depth + right >= window):
-            best[by_right[ranks[r]], depth] = int(right[r])
+        ok = depth + right >= window
+        x = ranks[ok]
+        lo[x], hi[x] = np.maximum(lo[x], depth), np.maximum(hi[x], right[ok])
 
     stack: list[list[int]] = []  # open nodes: [first member, depth]
     for i, depth in enumerate([*agree, -1]):
@@ -186,7 +201,7 @@ def repeats(lefts: list[bytes], rights: list[bytes], window: int) -> list[tuple[
             node(low, i + 1, d)
         if depth >= 0 and (not stack or stack[-1][1] < depth):
             stack.append([low, depth])
-    return [(i, d, r) for (i, d), r in best.items()]
+    return [(by_right[x], int(lo[x]), int(hi[x])) for x in np.flatnonzero(hi)]
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -212,24 +227,31 @@ def _find_anchors(window: int, gram: int):
 
 
 def _contexts(window: int, gram: int, with_bytes: bool):
-    """Around each anchor of a text that is not alone: what any window over the anchor can reach."""
+    """Around each anchor of a text that is not alone: what any window over the anchor can reach.
+
+    Without bytes a row for each place; with them one for each surrounding that a batch has.
+    """
     reach = window - gram
+    names = ["h", "c", "left", "right"] if with_bytes else ["h", "c", "key", "at"]
 
     def run(parts):
         for part in parts:
-            out = []
-            for key, text, found in zip(part["key"], part["text"], part["found"]):
+            out, seen = [], set()
+            for key, text, hs, ats in zip(part["key"], part["text"], part["hs"], part["ats"]):
                 data = text.encode()
-                for x in found:
-                    at = x["at"]
+                for h, at in zip(hs.tolist(), ats.tolist()):
                     left, right = data[max(0, at - reach):at], data[at:at + window]
                     c = hashlib.md5(len(left).to_bytes(4, "big") + left + right).digest()
-                    out.append((x["h"], c, left[::-1], right) if with_bytes else (x["h"], c, key, at))
-                if len(out) > 20_000:
-                    yield pd.DataFrame(out, columns=["h", "c", "left", "right"] if with_bytes else ["h", "c", "key", "at"])
+                    if not with_bytes:
+                        out.append((h, c, key, at))
+                    elif (h, c) not in seen:
+                        seen.add((h, c))
+                        out.append((h, c, left[::-1], right))
+                if len(out) > 10_000:
+                    yield pd.DataFrame(out, columns=names)
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=["h", "c", "left", "right"] if with_bytes else ["h", "c", "key", "at"])
+                yield pd.DataFrame(out, columns=names)
     return run
 
 
@@ -237,10 +259,11 @@ def _sorted_groups(window: int):
     def run(parts):
         out = []
         for part in groups_of(parts, "block"):
-            part = part.drop_duplicates("c")
-            if len(part) > 1:
-                c, h = part["c"].to_numpy(), part["h"].iloc[0]
-                out += [(h, c[i], left, right) for i, left, right in repeats(list(part["left"]), list(part["right"]), window)]
+            if len(part["c"]) > 1:
+                unique = list({c: (left, right) for c, left, right in zip(part["c"], part["left"], part["right"])}.items())
+                if len(unique) > 1:
+                    h = part["h"][0]
+                    out += [(h, unique[i][0], left, right) for i, left, right in repeats([x[1][0] for x in unique], [x[1][1] for x in unique], window)]
             if len(out) > 20_000:
                 yield pd.DataFrame(out, columns=["h", "c", "lo", "hi"])
                 out = []
@@ -252,8 +275,8 @@ def _sorted_groups(window: int):
 def _cut(parts):
     for part in parts:
         out = []
-        for key, text, spans in zip(part["key"], part["text"], part["spans"]):
-            data, gone, end, kept = text.encode(), merged((x["start"], x["stop"]) for x in spans), 0, hashlib.sha256()
+        for key, text, starts, stops in zip(part["key"], part["text"], part["starts"], part["stops"]):
+            data, gone, end, kept = text.encode(), merged(zip(starts.tolist(), stops.tolist())), 0, hashlib.sha256()
             for a, b in gone:
                 kept.update(data[end:a])
                 end = b
@@ -279,21 +302,21 @@ def repeated_bytes(documents: DataFrame, window: int = 400, gram: int = 32, chun
     found = tables.write(long.mapInPandas(_find_anchors(window, gram), "h long, key binary, at int").distinct())
     several = found.groupBy("h").count().where("count > 1").select("h")
     shared = found.join(several, "h").groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("found"))
-    texts = tables.write(long.groupBy("key").agg(F.first("text").alias("text")).join(shared, "key"))
+    texts = tables.write(long.groupBy("key").agg(F.first("text").alias("text")).join(shared, "key").select("key", "text", F.col("found.h").alias("hs"), F.col("found.at").alias("ats")))
     tables.drop(found)
     places = tables.write(texts.mapInPandas(_contexts(window, gram, False), "h long, c binary, key binary, at int"))
-    around = tables.write(texts.mapInPandas(_contexts(window, gram, True), "h long, c binary, left binary, right binary")
-                          .groupBy("h", "c").agg(F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("n")))
+    around = tables.write(texts.mapInPandas(_contexts(window, gram, True), "h long, c binary, left binary, right binary").dropDuplicates(["h", "c"]))
     # Surroundings that occur twice repeat themselves whole; different ones are sorted.
-    whole = around.where(F.col("n") > 1).where(F.length("left") + F.length("right") >= window).select("h", "c", F.length("left").alias("lo"), F.length("right").alias("hi"))
+    twice = places.groupBy("h", "c").count().where("count > 1").select("h", "c")
+    whole = (around.select("h", "c", F.length("left").alias("lo"), F.length("right").alias("hi")).where(F.col("lo") + F.col("hi") >= window).join(twice, ["h", "c"]))
     sizes = around.groupBy("h").count().where("count > 1").select("h", F.ceil(F.col("count") / chunk_rows).cast("long").alias("chunks"))
     own = F.pmod(F.xxhash64("c"), F.col("chunks"))
     blocks = (around.join(sizes, "h").select("h", "c", "left", "right", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
               .select("h", "c", "left", "right", F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("block")))
     partly = blocks.repartition("block").sortWithinPartitions("block").mapInPandas(_sorted_groups(window), "h long, c binary, lo int, hi int")
-    spans = whole.unionByName(partly).groupBy("h", "c").agg(F.collect_set(F.struct("lo", "hi")).alias("reach"))
-    gone = (places.join(spans, ["h", "c"]).select("key", "at", F.explode("reach").alias("r"))
-            .groupBy("key").agg(F.collect_list(F.struct((F.col("at") - F.col("r.lo")).alias("start"), (F.col("at") + F.col("r.hi")).alias("stop"))).alias("spans")))
+    spans = whole.unionByName(partly).groupBy("h", "c").agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+    gone = (places.join(spans, ["h", "c"]).groupBy("key").agg(F.collect_list(F.struct((F.col("at") - F.col("lo")).alias("start"), (F.col("at") + F.col("hi")).alias("stop"))).alias("spans"))
+            .select("key", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")))
     cut = texts.select("key", "text").join(gone, "key").mapInPandas(_cut, "key binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>")
     copies = base.groupBy("key").agg(F.count("*").alias("copies"))
     classes = copies.join(cut, "key", "left").where("copies > 1 OR n_removed IS NOT NULL")

@@ -111,7 +111,8 @@ def _render(kind: Column, e: Column, digest: Column) -> Column:
             new = F.when(F.instr(F.lit(sounds), low) > 0, _pick(sounds, digest, i)).otherwise(new)
         return F.when(i >= size - 1, c).otherwise(F.when(low == c, new).otherwise(F.upper(new)))
     name = F.array_join(F.transform(chars, letter), "")
-    secret = _swap(chars, digest, lambda c, i: F.lit(False))
+    hexed = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9]"), _pick("0123456789", digest, i)).otherwise(_pick("abcdef", digest, i))), "")
+    secret = F.when(e.rlike("^[0-9a-f]+$"), hexed).otherwise(_swap(chars, digest, lambda c, i: F.lit(False)))
     return F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card).when(kind == "phone", phone).when(kind == "key", key).when(kind == "name", name).otherwise(secret)
 
 
