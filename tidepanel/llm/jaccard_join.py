@@ -10,8 +10,8 @@ then by hash) two sets of similarity p % share a shingle among the first n - cei
 so documents that share such a shingle form a block with a tree of its own. The order decides only how
 large blocks get, never a result; what is common is read off a bounded sample.
 
-Equal sets are one class. In a first step documents that share one of their few least shingle hashes are verified
-and joined, inside blocks of bounded size that all hold the same few members of their bucket. So a group of
+Equal sets are one class. In a first step documents that share one of their few least shingle hashes are joined,
+inside blocks of bounded size that all hold the same few members of their bucket, each to one verified partner. So a group of
 near copies is one component before the full search, which only looks at pairs between different components.
 """
 
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm.common import Tables, components, groups_of
 
-GROUPS = 32
+GROUPS = 128
+#: The most a stored count says; more counts as without bound, which only lets a pair through to verification.
+MOST = 65535
 #: Odd multipliers of the words of a shingle, and of the mixing step after.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype="u8")
 _MIX = np.uint64(0xC4CEB9FE1A85EC53)
@@ -70,7 +72,7 @@ def prefix(hashes: np.ndarray, pct: int, common: np.ndarray) -> np.ndarray:
     n = len(hashes)
     take = n - -(-pct * n // 100) + 1 if n else 0
     if len(common) and n:
-        late = np.isin(hashes, common, assume_unique=True)
+        late = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
         if late.any():
             return np.concatenate([hashes[~late], hashes[late]])[:take]
     return hashes[:take]
@@ -122,8 +124,8 @@ def _sets(size: int, pct: int, common, leads: int = 0):
             for text in part["text"]:
                 h = shingles(text, size, words)
                 key = hashlib.md5(h.tobytes()).digest() if len(h) else None
-                out.append((len(h), key, counts(h).astype("u4").tobytes(), prefix(h, pct, late).view("i8"), (h[:leads] ^ _LEAD).view("i8")))
-            yield pd.DataFrame(out, columns=["n", "key", "point", "first", "lead"]).assign(id=part["id"].astype("Int64"))
+                out.append((len(h), key, prefix(h, pct, late).view("i8"), (h[:leads] ^ _LEAD).view("i8")))
+            yield pd.DataFrame(out, columns=["n", "key", "first", "lead"]).assign(id=part["id"].astype("Int64"))
     return run
 
 
@@ -131,14 +133,13 @@ def _whole_sets(size: int):
     def run(parts):
         words = _Words()
         for part in parts:
-            out = []
+            points, items = [], []
             for key, text in zip(part["key"], part["text"]):
                 h = shingles(text, size, words)
-                if hashlib.md5(h.tobytes()).digest() == bytes(key):
-                    out.append(h.tobytes())
-                else:
-                    out.append(None)  # another text under the same id
-            yield part[["id", "n", "point"]].assign(items=out)
+                mine = hashlib.md5(h.tobytes()).digest() == bytes(key)  # else another text under the same id
+                points.append(np.minimum(counts(h), MOST).astype("u2").tobytes() if mine else None)
+                items.append(h.tobytes() if mine else None)
+            yield part[["id", "n"]].assign(point=points, items=items)
     return run
 
 
@@ -175,27 +176,24 @@ def _shared(chunk_rows: int, chunk_items: int):
 
 
 def _points(raw: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), dtype="u4").reshape(len(raw), GROUPS).astype("i8")
+    points = np.frombuffer(b"".join(raw), dtype="u2").reshape(len(raw), GROUPS).astype("i8")
+    points[points == MOST] = 1 << 40
+    return points
 
 
-def _join_block(pct: int):
-    """Verified links of a block, as many as join its components."""
+def _forest(pct: int):
+    """Of each block, pairs that the tree lets through, no more than it takes to join them."""
     def run(parts):
         for part in groups_of(parts, "block"):
-            members = sorted({(n, i): (p, x) for n, i, p, x in zip(part["n"], part["id"], part["point"], part["items"])}.items())
+            members = sorted({(n, i): p for n, i, p in zip(part["n"], part["id"], part["point"])}.items())
             if len(members) < 2:
                 continue
-            points, n = _points([v[0] for _, v in members]), np.array([k[0] for k, _ in members])
-            sets = [np.frombuffer(v[1], dtype="u8") for _, v in members]
-            tree, label, ids, out = CountTree(points, n), np.arange(len(members)), [k[1] for k, _ in members], []
+            points, n, ids, out = _points([p for _, p in members]), np.array([k[0] for k, _ in members]), [k[1] for k, _ in members], []
+            tree = CountTree(points, n)
             for i in range(1, len(members)):
                 near = tree.partners(points[i], n[i], pct)
-                near = np.sort(near[near < i])
-                while len(near := near[label[near] != label[i]]):
-                    j, near = near[0], near[1:]
-                    if similar(sets[i], sets[j], pct):
-                        out.append((ids[i], ids[j]))
-                        label[label == label[i]] = label[j]
+                if near.min() < i:
+                    out.append((ids[near.min()], ids[i]))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
     return run
@@ -212,6 +210,13 @@ def _search_block(pct: int):
             right = left if one else right
             if not len(left):
                 continue
+            if one and len(left) <= CountTree.FAN:  # a single leaf: all bounds at once
+                bound = np.minimum(points[:, None], points[None]).sum(axis=2)
+                near = (100 * n[:, None] >= pct * n) & (100 * n >= pct * n[:, None]) & ((100 + pct) * bound >= pct * (n[:, None] + n)) & (comp[:, None] > comp)
+                i, j = np.nonzero(near)
+                if len(i):
+                    yield pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+                continue
             tree, out = CountTree(points[left], n[left]), []
             for j, r in enumerate(right):
                 near = tree.partners(points[r], n[r], pct)
@@ -234,7 +239,7 @@ def _verify(pct: int):
     return run
 
 
-def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample_rows: int = 4000, common_in_sample: int = 8,
+def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample_rows: int = 3000, common_in_sample: int = 8,
                       max_common: int = 50_000, leads: int = 4, chunk_rows: int = 1500, chunk_items: int = 400_000, seeds: int = 8,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
@@ -249,17 +254,25 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = max(1, rows.count())
     seen = (rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1, sample_rows / total)) + 1)
-            .mapInPandas(_sets(size, 0, None), "id long, n int, key binary, point binary, first array<long>, lead array<long>")
+            .mapInPandas(_sets(size, 0, None), "id long, n int, key binary, first array<long>, lead array<long>")
             .select(F.explode("first").alias("s")).groupBy("s").count().where(F.col("count") >= common_in_sample)
             .orderBy(F.desc("count"), "s").limit(max_common).select("s").toPandas()["s"])
     common = spark.sparkContext.broadcast(np.sort(seen.to_numpy(dtype="i8").view("u8")))  # max_common numbers at most
-    base = tables.write(rows.mapInPandas(_sets(size, pct, common, leads), "id long, n int, key binary, point binary, first array<long>, lead array<long>"))
+    base = tables.write(rows.mapInPandas(_sets(size, pct, common, leads), "id long, n int, key binary, first array<long>, lead array<long>"))
     classes = base.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("lead").alias("lead"))
-    postings = classes.select("id", "n", F.explode("first").alias("s"), F.lit(False).alias("lead")).unionByName(classes.select("id", "n", F.explode("lead").alias("s"), F.lit(True).alias("lead")))
+    marked = F.concat(F.transform("first", lambda x: F.struct(x.alias("s"), F.lit(False).alias("lead"))), F.transform("lead", lambda x: F.struct(x.alias("s"), F.lit(True).alias("lead"))))
+    postings = classes.select("id", "n", F.explode(marked).alias("p")).select("p.s", "id", "n", "p.lead")
     shared = tables.write(postings.repartition("s").sortWithinPartitions("s", "id").mapInPandas(_shared(chunk_rows, chunk_items), "s long, id long, n int, lead boolean, chunk long"))
-    names = base.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"))
+    slim = tables.write(base.select("id", "n", "key"))
+    tables.drop(base)
+    names = slim.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     wanted = names.join(shared.select("id").distinct(), "id", "left_semi")
     sets = tables.write(rows.join(wanted, "id").mapInPandas(_whole_sets(size), "id long, n int, point binary, items binary").where("items IS NOT NULL"))
+    points, items = sets.select("id", "n", "point"), sets.select("id", "items")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(items.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(items.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
+        return both.mapInPandas(_verify(pct), "a long, b long")
 
     # First step: what shares a leading shingle, in blocks that all hold the first members of their bucket.
     lead = shared.where("lead")
@@ -267,7 +280,8 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     more = lead.where("chunk > 0").select("s", "chunk").distinct()
     blocks = (lead.join(first.select("s", "size"), "s", "left").where("chunk > 0 OR size > 1").select(F.xxhash64("s", "chunk").alias("block"), "id")
               .unionByName(more.join(first, "s").select(F.xxhash64("s", "chunk").alias("block"), F.explode("some.id").alias("id"))).distinct())
-    links = tables.write(blocks.join(sets, "id").repartition("block").sortWithinPartitions("block").mapInPandas(_join_block(pct), "a long, b long"))
+    forest = blocks.join(points, "id").repartition("block").sortWithinPartitions("block").mapInPandas(_forest(pct), "a long, b long").distinct()
+    links = tables.write(verified(forest))
     joined = components(links, tables).withColumnRenamed("node", "id")
 
     # Then every shared shingle, for pairs between components; a large bucket is searched chunk against chunk.
@@ -277,12 +291,9 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     open_ = open_.groupBy("members", "size", "chunks", "low", "high").agg(F.min("s").alias("s"))
     dealt = (known.join(open_.select("s", "chunks"), "s").select("s", "id", "comp", "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
              .select(F.xxhash64("s", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("block"), "id", "comp", (F.col("chunk") > F.col("other")).cast("int").alias("side")))
-    pairs = (dealt.join(sets.select("id", "n", "point"), "id").repartition("block").sortWithinPartitions("block")
+    pairs = (dealt.join(points, "id").repartition("block").sortWithinPartitions("block")
              .mapInPandas(_search_block(pct), "a long, b long").distinct())
-    items = sets.select("id", "items")
-    verified = (pairs.join(items.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(items.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
-                .mapInPandas(_verify(pct), "a long, b long"))
-    found = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(verified), tables)
+    found = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(verified(pairs)), tables)
     answer = names.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
-    return (base.select("id", "n", "key").join(answer, "key", "left")
+    return (slim.join(answer, "key", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")))

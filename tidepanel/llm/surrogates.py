@@ -29,7 +29,7 @@ KINDS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ -]?)?(?:\(\d{2,4}\)[ -]?|\d{2,4}[ -])\d{3,4}[ -]\d{3,4}(?!\w)",
     "key": r"(?<!\w)(?:AKIA[A-Z0-9]{12,20}|gh[pousr]_[A-Za-z0-9]{20,80}|sk-[A-Za-z0-9_-]{16,80}|xox[abp]-[A-Za-z0-9-]{10,80})(?!\w)",
     "secret": r"(?i:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=token = \")|(?<=api_key=)|(?<=api_key = \"))[A-Za-z0-9+/_-]{6,200}",
-    "name": rf"(?<=\b(?:{TITLES})\.? ){NAME}|(?<=\b(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}} ){NAME}",
+    "name": rf"(?<=\b(?:{TITLES})\.? ){NAME}|(?<=\b(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}} )(?!(?:{TITLES})\b){NAME}",
 }
 MARK, ESCAPE = "\x01", "\x02"
 ANY = "|".join(f"(?:{p})" for p in KINDS.values()).replace(r"([ -]?)\d{4}\1\d{4}\1", r"(?<gap>[ -]?)\d{4}\k<gap>\d{4}\k<gap>")
