@@ -73,7 +73,7 @@ def score(spark, **over):
     cols = list(row)
     schema = ", ".join(f"{c} double" for c in cols)
     df = spark.createDataFrame([tuple(row[c] for c in cols)], schema)
-    r = df.select(S.rating_signal().alias("r"), S.injury_log_rate().alias("k")).first()
+    r = df.select(S.rating_score().alias("r"), S.log_hazard_rate().alias("k")).first()
     return r.r, r.k
 
 

@@ -4,6 +4,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.operators.dedupe import dedupe_latest
@@ -40,3 +41,40 @@ def test_replace_partitions_keeps_other_models(spark):
     got = sorted((r.model_name, r.value) for r in spark.read.parquet(work).collect())
     assert got == [("m1", 0.7), ("m2", 0.9)]
     assert spark.read.parquet(work).where(F.col("model_name") == "m1").count() == 1
+
+
+def test_unreadable_target_stops_the_batch(spark):
+    """A target that exists but can't be read is an error, never a first batch."""
+    work = Path(tempfile.mkdtemp(prefix="tp-broken-")) / "out"
+    work.mkdir()
+    (work / "part-0.parquet").write_bytes(b"no parquet")
+    batch = spark.createDataFrame([(1, 1, 5)], "l_orderkey int, l_linenumber int, v int")
+    with pytest.raises(Exception, match="(?i)parquet|footer|schema"):
+        redelivery.upsert_latest(batch, str(work), KEYS, ["v"], buckets=2)
+    assert (work / "part-0.parquet").read_bytes() == b"no parquet"
+
+
+def test_checkpoint_folder_is_required_off_local(monkeypatch):
+    from tidepanel import session
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_pipelines_of_two_parameters_differ(spark):
+    from tidepanel.plans.pipeline import Params, pipeline_for
+
+    a, b = (pipeline_for(spark, "/root/testdata/sf0.001", Params(label_horizon_days=n)) for n in (7, 3))
+    assert a is not b and a is pipeline_for(spark, "/root/testdata/sf0.001", Params(label_horizon_days=7)) and b.p.label_horizon_days == 3

@@ -44,9 +44,3 @@ def dedupe_latest_window(df: DataFrame, keys: Sequence[str], version: Sequence[s
 def flag_rows(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """AGG3: distinct keys with a constant 1 flag."""
     return df.select(*keys).distinct().withColumn(flag, F.lit(1))
-
-
-def having_count(df: DataFrame, keys: Sequence[str], more_than: int = 1, name: str = "n_rows") -> DataFrame:
-    """AGG13: key combinations that occur more than ``more_than`` times."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-            .filter(F.col(name) > more_than))

@@ -132,10 +132,6 @@ def assemble(spine: DataFrame, feeds: Sequence[tuple[DataFrame, Mapping[str, str
     return out.drop("__on_spine")
 
 
-def attach_left(panel: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JN3 reference form: one left join per feed on (entity, day)."""
-    return panel.join(feed, list(keys), "left")
-
 
 def forward_count(df: DataFrame, key: str, flag: str, n: int, name: str) -> DataFrame:
     """WIN16: planned events in [t, t+n-1] per key (public in advance, so not leakage)."""

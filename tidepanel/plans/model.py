@@ -34,10 +34,22 @@ LEVER_FEATURES = ["sleep_hours_3d", "sleep_hours_7d", "sleep_hours_28d", "protei
                   "sprint_30m_s", "cmj_cm", "squat_1rm_rel", "nordic_n", "acwr", "load_strain_7d"]
 STATE_INPUTS = sorted(set(S.SCORE_INPUTS) | set(LEVER_FEATURES) | {"chronic_load_28d", "exposure_7d"})
 
-SCORERS = {"risk": lambda cols: S.risk_7d(cols), "rating": lambda cols: S.rating_signal(cols)}
+SCORERS = {"risk": lambda cols: S.risk_7d(cols), "rating": lambda cols: S.rating_score(cols)}
 MODEL_VERSION_STAMP = "rule"
 
 
+def attach_scores(fact: DataFrame, scores: DataFrame, predictions: DataFrame) -> DataFrame:
+    """JN14 / ML18: entity-days with a score, and their prediction where there is one.
+
+    Rows without a score go, rows without a prediction stay. The three tables join on (entity, day), so one
+    shuffle each serves both joins.
+    """
+    f = fact.select(E, D, "team_id", "position_group", "acwr", "acwr_zone", "acute_load_7d", "chronic_load_28d", "sleep_hours_7d", "hrv_z",
+                    "readiness_score", "is_unavailable", F.col("injury_next_7d").alias("actual_injury_next_7d"), "label_is_complete")
+    s = scores.select(E, D, "injury_risk_7d", C.risk_band("injury_risk_7d").alias("risk_band"), "data_split")
+    return f.join(s, [E, D], "inner").join(predictions.select(E, D, "predicted_rating"), [E, D], "left")
+
+
 class ModelMarts:
     def __init__(self, p: PanelPipeline):
         self.p = p
@@ -62,7 +74,7 @@ class ModelMarts:
     def rating_predictions(self) -> DataFrame:
         """ML8: expected rating for every available entity-day."""
         a = self.available
-        return a.select(E, D, S.rating_signal().alias("predicted_rating"),
+        return a.select(E, D, S.rating_score().alias("predicted_rating"),
                         C.add_split(D, self.p.p.train_end, self.p.p.val_end).alias("data_split"))
 
     @cached_property
@@ -81,7 +93,11 @@ class ModelMarts:
                         F.col("injury_next_7d").alias("actual_injury_next_7d"), "label_is_complete",
                         risk.alias("injury_risk_7d"), C.risk_band(risk).alias("risk_band"),
                         F.when(F.col("label_is_complete") == 1, split).otherwise("scoring_only").alias("data_split"),
-                        S.rating_signal().alias("predicted_rating"))
+                        S.rating_score().alias("predicted_rating"))
+
+    def risk_timeline(self) -> DataFrame:
+        """JN14 with the rule scores as tables; any scorer's tables fit."""
+        return attach_scores(self.p.fact, self.risk_scores, self.rating_predictions)
 
     # ------------------------------------------------------------------ levers
     @cached_property
@@ -229,11 +245,8 @@ class ModelMarts:
                 .select(E, D, "injury_risk_7d", "acwr", "sleep_hours_7d", "predicted_rating", "is_unavailable"))
 
 
-_MARTS: dict[int, ModelMarts] = {}
-
-
 def marts_for(p: PanelPipeline) -> ModelMarts:
-    m = _MARTS.get(id(p))
-    if m is None:
-        m = _MARTS[id(p)] = ModelMarts(p)
-    return m
+    """The marts of a pipeline live and go with it."""
+    if "_marts" not in p.__dict__:
+        p.__dict__["_marts"] = ModelMarts(p)
+    return p.__dict__["_marts"]

@@ -195,7 +195,7 @@ match_form AS (
                                        ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS form_rating_5m
   FROM stg_matches WHERE minutes_played >= 15
 ),
-base AS (
+base AS MATERIALIZED (
   SELECT s.entity_id, s.date_day, s.day_index, a.team_id, a.position_code, a.position_group, a.birth_date,
          a.height_cm, a.weight_kg,
          coalesce(l.daily_load, 0) AS daily_load, coalesce(l.daily_minutes, 0) AS daily_minutes,
@@ -294,7 +294,7 @@ features AS (
     CAST(injury_next_7d_raw AS BIGINT) AS injury_next_7d
   FROM windows
 ),
-fact AS (
+fact AS MATERIALIZED (
   SELECT *,
     least(100, greatest(0,
         60

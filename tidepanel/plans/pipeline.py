@@ -431,11 +431,11 @@ class PanelPipeline:
         return out
 
 
-_PIPELINES: dict[tuple[str, str], PanelPipeline] = {}
+_PIPELINES: dict[tuple[str, str, Params], PanelPipeline] = {}
 
 
 def pipeline_for(spark, sf_dir: str, params: Params = Params()) -> PanelPipeline:
-    """One pipeline per (application, input folder).
+    """One pipeline per (application, input folder, parameters).
 
     Like the reference's materialised tables, the wide fact is persisted
     (memory, spilling to disk) once and shared by every mart built on it;
@@ -443,7 +443,7 @@ def pipeline_for(spark, sf_dir: str, params: Params = Params()) -> PanelPipeline
     """
     from pyspark import StorageLevel
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, params)
     p = _PIPELINES.get(key)
     if p is None:
         p = PanelPipeline(SupplierFeeds(spark, sf_dir), params)

@@ -47,7 +47,7 @@ def severity_interval(spark, sf_dir):
 
 
 _DAILY = ["daily_load", "daily_minutes", "match_minutes", "total_distance_m", "hsr_distance_m", "sprint_count",
-          "max_speed_kmh"]
+          "max_speed_kmh", "exposure_h"]
 
 
 @register("daily_rollup", with_ctes(FEEDS, "SELECT * FROM daily_load"), doubles=_DAILY)

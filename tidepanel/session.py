@@ -7,7 +7,6 @@ the caller left them unset, as tests and local runs do.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidepanel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -66,11 +67,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_cores(default: str = "8") -> str:
-    return os.environ.get("BENCH_CPUS", default)

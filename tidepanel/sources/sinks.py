@@ -24,13 +24,7 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     Dynamic partition overwrite replaces the read-filter-union-overwrite of
     the reference: other models' rows are never read or rewritten.
     """
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -44,3 +38,9 @@ def load_model(path: str) -> PipelineModel:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written at ``path``, asked of the path's own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

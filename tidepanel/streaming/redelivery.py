@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from tidepanel.operators.dedupe import dedupe_latest
 from tidepanel.session import cut_lineage
+from tidepanel.sources.sinks import table_exists
 
 BUCKET = "key_bucket"
 
@@ -37,18 +38,12 @@ def upsert_latest(batch: DataFrame, target: str, keys: Sequence[str], version: S
     spark = batch.sparkSession
     new = _bucketed(dedupe_latest(batch, keys, version), keys, buckets)
     touched = [r[BUCKET] for r in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` values
-    try:
+    merged = new
+    if table_exists(spark, target):  # any failure to read an existing target stops the batch
         old = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
         merged = dedupe_latest(old.unionByName(new), [*keys, BUCKET], version)
-    except Exception:  # noqa: BLE001 - first batch: no target yet
-        merged = new
     merged = cut_lineage(merged.select(*new.columns))
-    old_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old_mode)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target)
 
 
 def start(spark: SparkSession, source_dir: str, schema: StructType, target: str, checkpoint: str,
