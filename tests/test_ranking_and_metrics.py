@@ -107,3 +107,27 @@ def test_spearman_constant_is_null(spark):
                                "g string, x double, y double")
     got = {r.g: r.spearman for r in EV.spearman(df, ["g"], "x", "y").collect()}
     assert got["a"] is None and got["b"] == pytest.approx(0.5)
+
+
+def test_a_value_that_most_rows_share(spark):
+    """One value in 90 % of the rows: ranks and percentiles as over sorted rows, from few cells."""
+    import random
+
+    from tidepanel.operators import ranking as R
+
+    rng = random.Random(3)
+    rows = [("g" if i % 3 else "h", 5.0 if rng.random() < 0.9 else (None if rng.random() < 0.2 else float(rng.randrange(40)))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    got = {r.g: r for r in R.percentile_cont(df, ["g"], "v", [0.0, 0.03, 0.5, 0.97, 1.0], ["a", "b", "c", "d", "e"]).collect()}
+    for g in "gh":
+        vals = sorted(v for k, v in rows if k == g and v is not None)
+        for p, n in zip([0.0, 0.03, 0.5, 0.97, 1.0], "abcde"):
+            at = p * (len(vals) - 1)
+            lo = int(at)
+            hi = min(lo + 1, len(vals) - 1) if at > lo else lo
+            assert abs(got[g][n] - (vals[lo] + (at - lo) * (vals[hi] - vals[lo]))) < 1e-9
+    assert R.value_cells(df.where("v IS NOT NULL"), ["g"], "v").count() <= 80
+    pr = {(r.g, r.v): r.pct_rank for r in R.percent_rank_exact(df, ["g"], "v").collect()}
+    for (g, v), p in pr.items():
+        below = sum(1 for k, x in rows if k == g and ((x is None and v is not None) or (x is not None and v is not None and x < v)))
+        assert abs(p - below / (sum(1 for k, _ in rows if k == g) - 1)) < 1e-12

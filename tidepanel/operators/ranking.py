@@ -56,8 +56,18 @@ def exact_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], nam
             .drop("__pid", "__first", "__offset", "__mid", *sort_cols))
 
 
-def group_sizes(df: DataFrame, by: Sequence[str], name: str = "__size") -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+def value_cells(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """One row per (group, distinct value): ``__n`` rows, ranks ``__first`` to ``__last`` of them, ``__size`` of the group.
+
+    Rows are counted before anything is sorted, so a value that most rows share is one row per task from the
+    start, and only distinct values are range partitioned and numbered.
+    """
+    by = list(by)
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    run = running_totals(counts, [*by, value], ["__n"], suffix="_cum")
+    group = run.groupBy(*by).agg(F.min(F.col("__n_cum") - F.col("__n")).alias("__off"), F.sum("__n").alias("__size"))
+    both = run.join(group, by, "inner") if by else run.crossJoin(group)  # without groups it is one row
+    return both.select(*by, value, "__n", (F.col("__n_cum") - F.col("__n") - F.col("__off") + 1).alias("__first"), (F.col("__n_cum") - F.col("__off")).alias("__last"), "__size")
 
 
 def percentile_cont(df: DataFrame, by: Sequence[str], value: str, ps: Sequence[float],
@@ -69,24 +79,22 @@ def percentile_cont(df: DataFrame, by: Sequence[str], value: str, ps: Sequence[f
     """
     by = list(by)
     names = list(names or [f"p{int(round(p * 100))}" for p in ps])
-    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
-    ranked = exact_row_number(vals, by, ["__v"], name="__r")
-    sizes = group_sizes(vals, by)
-    spark = df.sparkSession
-    plist = spark.createDataFrame([(float(p), nm) for p, nm in zip(ps, names)], "__p double, __name string")
-    targets = (sizes.crossJoin(F.broadcast(plist))
-               .withColumn("__pos", F.col("__p") * (F.col("__size") - 1))
-               .withColumn("__lo", F.floor("__pos").cast("long") + 1)
-               .withColumn("__hi", F.ceil("__pos").cast("long") + 1)
-               .withColumn("__frac", F.col("__pos") - F.floor("__pos")))
-    wanted = targets.select(*by, "__name", "__frac", "__lo", "__hi",
-                            F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("__r"))
-    picked = ranked.join(wanted, [*by, "__r"], "inner")
-    per_p = picked.groupBy(*by, "__name", "__frac").agg(
-        F.max(F.when(F.col("__r") == F.col("__lo"), F.col("__v"))).alias("__vlo"),
-        F.max(F.when(F.col("__r") == F.col("__hi"), F.col("__v"))).alias("__vhi"))
-    per_p = per_p.withColumn("__val", F.col("__vlo") + F.col("__frac") * (F.col("__vhi") - F.col("__vlo")))
-    return per_p.groupBy(*by).pivot("__name", names).agg(F.first("__val"))
+    cells = value_cells(df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v")), by, "__v")
+
+    def at(rank):
+        return F.max(F.when((F.col("__first") <= rank) & (rank <= F.col("__last")), F.col("__v")))
+    parts = []
+    for i, p in enumerate(ps):
+        place = F.lit(float(p)) * (F.col("__size") - 1)
+        parts += [at(F.floor(place) + 1).alias(f"__lo{i}"), at(F.ceil(place) + 1).alias(f"__hi{i}"), F.max(place - F.floor(place)).alias(f"__fr{i}")]
+    found = cells.groupBy(*by).agg(*parts)
+    return found.select(*by, *[(F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm) for i, nm in enumerate(names)])
+
+
+def _with_cells(df: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their value's cell. The cells are unique on the keys, so a hot value is skewed on the row side only,
+    which AQE splits."""
+    return df.join(cells, list(keys), "inner")
 
 
 def percent_rank_exact(df: DataFrame, by: Sequence[str], value: str, name: str = "pct_rank") -> DataFrame:
@@ -95,22 +103,19 @@ def percent_rank_exact(df: DataFrame, by: Sequence[str], value: str, name: str =
     Rows with a NULL ``value`` are ranked first, as in an ascending window.
     """
     by = list(by)
-    keyed = df.withColumn("__isval", F.col(value).isNotNull().cast("int")) \
-              .withColumn("__vv", F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
-    ranked = exact_row_number(keyed, by, ["__isval", "__vv"], name="__rn")
-    first = ranked.groupBy(*by, "__isval", "__vv").agg(F.min("__rn").alias("__rank"))
-    sizes = group_sizes(keyed, by, "__n")
-    out = ranked.join(first, [*by, "__isval", "__vv"], "inner").join(sizes, by, "inner")
-    pr = F.when(F.col("__n") > 1, (F.col("__rank") - 1) / (F.col("__n") - 1)).otherwise(F.lit(0.0))
-    return out.withColumn(name, pr.cast("double")).drop("__rn", "__rank", "__n", "__isval", "__vv")
+    # NULL sorts first in Spark, as in the window; a struct keeps it apart from any value in the join.
+    keyed = df.withColumn("__v", F.struct(F.col(value).isNotNull().cast("int").alias("has"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("v")))
+    cells = value_cells(keyed.select(*by, "__v"), by, "__v").select(*by, "__v", "__first", "__size")
+    out = _with_cells(keyed, cells, [*by, "__v"])
+    pr = F.when(F.col("__size") > 1, (F.col("__first") - 1) / (F.col("__size") - 1)).otherwise(F.lit(0.0))
+    return out.withColumn(name, pr.cast("double")).drop("__v", "__first", "__size")
 
 
 def average_rank(df: DataFrame, by: Sequence[str], value: str, name: str = "avg_rank") -> DataFrame:
-    """WIN27: rank with ties averaged, (first + last) / 2, as Spearman needs."""
+    """WIN27: rank with ties averaged, (first + last) / 2, as Spearman needs. Rows with a NULL ``value`` drop out."""
     by = list(by)
-    ranked = exact_row_number(df, by, [value], name="__rn")
-    span = ranked.groupBy(*by, value).agg(((F.min("__rn") + F.max("__rn")) / 2.0).alias(name))
-    return ranked.drop("__rn").join(span, [*by, value], "inner")
+    cells = value_cells(df.select(*by, value), by, value)
+    return _with_cells(df, cells.select(*by, value, ((F.col("__first") + F.col("__last")) / 2.0).alias(name)), [*by, value])
 
 
 def running_totals(df: DataFrame, order: Sequence[str], cols: Sequence[str], descending: bool = False,

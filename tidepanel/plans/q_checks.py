@@ -136,7 +136,8 @@ def freshness_q(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-MANIFEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels"]
+MANIFEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+                   "pages", "benchmark", "labels", "conversations"]
 
 
 @register("manifest", "\nUNION ALL\n".join(
