@@ -309,10 +309,16 @@ def repeated_bytes(documents: DataFrame, window: int = 400, gram: int = 32, chun
     # Surroundings that occur twice repeat themselves whole; different ones are sorted.
     twice = places.groupBy("h", "c").count().where("count > 1").select("h", "c")
     whole = (around.select("h", "c", F.length("left").alias("lo"), F.length("right").alias("hi")).where(F.col("lo") + F.col("hi") >= window).join(twice, ["h", "c"]))
-    sizes = around.groupBy("h").count().where("count > 1").select("h", F.ceil(F.col("count") / chunk_rows).cast("long").alias("chunks"))
-    own = F.pmod(F.xxhash64("c"), F.col("chunks"))
-    blocks = (around.join(sizes, "h").select("h", "c", "left", "right", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
-              .select("h", "c", "left", "right", F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("block")))
+    # Anchors with too many surroundings for one task; there are at most all surroundings / chunk_rows of them.
+    crowded = tables.write(around.groupBy("h").count().where(F.col("count") > chunk_rows).select("h", F.ceil(F.col("count") / chunk_rows).cast("long").alias("chunks")))
+    n_crowded = crowded.count()
+    if n_crowded:
+        own = F.pmod(F.xxhash64("c"), F.coalesce("chunks", F.lit(1)))
+        blocks = (around.join(F.broadcast(crowded) if n_crowded <= 100_000 else crowded, "h", "left")
+                  .select("h", "c", "left", "right", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1)).alias("other"))
+                  .select("h", "c", "left", "right", F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("block")))
+    else:
+        blocks = around.withColumn("block", F.col("h"))
     partly = blocks.repartition("block").sortWithinPartitions("block").mapInPandas(_sorted_groups(window), "h long, c binary, lo int, hi int")
     spans = whole.unionByName(partly).groupBy("h", "c").agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"))
     gone = (places.join(spans, ["h", "c"]).groupBy("key").agg(F.collect_list(F.struct((F.col("at") - F.col("lo")).alias("start"), (F.col("at") + F.col("hi")).alias("stop"))).alias("spans"))
