@@ -247,6 +247,6 @@ class ModelMarts:
 
 def marts_for(p: PanelPipeline) -> ModelMarts:
     """The marts of a pipeline live and go with it."""
-    if "_marts" not in p.__dict__:
-        p.__dict__["_marts"] = ModelMarts(p)
-    return p.__dict__["_marts"]
+    if "_model_marts" not in p.__dict__:
+        p.__dict__["_model_marts"] = ModelMarts(p)
+    return p.__dict__["_model_marts"]
