@@ -54,7 +54,7 @@ def corpus(rng, copies=40):
 def test_jaccard_against_brute_force(documents):
     texts = corpus(random.Random(11))
     ids = random.Random(2).sample(range(10_000), len(texts))
-    for kw in ({}, {"chunk_rows": 6, "seeds": 2, "leads": 1}, {"leads": 0, "common_in_sample": 3, "chunk_items": 500}):
+    for kw in ({}, {"chunk_rows": 6, "seeds": 2, "leads": 1}, {"leads": 0, "common_in_sample": 3, "chunk_items": 500, "broadcast_rows": 0}):
         got = jaccard_join.similar_documents(documents(texts, ids=ids), **kw).collect()
         assert sorted(map(tuple, got)) == sorted(classes(ids, texts))
 
@@ -80,7 +80,7 @@ def test_count_tree_finds_all():
     sets = [np.unique(rng.integers(0, 1 << 62, n).astype("u8")) for n in sizes]
     for i in range(0, 480, 3):
         sets[i + 1] = np.unique(np.concatenate([sets[i][rng.random(len(sets[i])) < 0.95], sets[i + 1][:3]]))
-    points, n = np.stack([jaccard_join.counts(s) for s in sets]), np.array([len(s) for s in sets])
+    points, n = np.stack([jaccard_join.folded(jaccard_join.counts(s)) for s in sets]), np.array([len(s) for s in sets])
     tree = jaccard_join.CountTree(points, n)
     for i in range(len(sets)):
         near = set(tree.partners(points[i], n[i], 80).tolist())

@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm.common import Tables, components, groups_of
 
-GROUPS = 128
+#: Groups of a point, and of the finer one that sets of many shingles have as well. FINE is a multiple of GROUPS.
+GROUPS, FINE, LONG = 128, 1024, 800
 #: The most a stored count says; more counts as without bound, which only lets a pair through to verification.
-MOST = 65535
+MOST = 255
 #: Odd multipliers of the words of a shingle, and of the mixing step after.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype="u8")
 _MIX = np.uint64(0xC4CEB9FE1A85EC53)
@@ -64,7 +65,13 @@ def shingles(text: str | None, size: int, words: dict) -> np.ndarray:
 
 
 def counts(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes % np.uint64(GROUPS)).astype("i8"), minlength=GROUPS)
+    """How many shingles each group has; long sets have finer groups, which add up to the common ones."""
+    groups = GROUPS if len(hashes) < LONG else FINE
+    return np.bincount((hashes % np.uint64(groups)).astype("i8"), minlength=groups)
+
+
+def folded(point: np.ndarray) -> np.ndarray:
+    return point.reshape(-1, GROUPS).sum(axis=0)
 
 
 def prefix(hashes: np.ndarray, pct: int, common: np.ndarray) -> np.ndarray:
@@ -137,7 +144,7 @@ def _whole_sets(size: int):
             for key, text in zip(part["key"], part["text"]):
                 h = shingles(text, size, words)
                 mine = hashlib.md5(h.tobytes()).digest() == bytes(key)  # else another text under the same id
-                points.append(np.minimum(counts(h), MOST).astype("u2").tobytes() if mine else None)
+                points.append(np.minimum(counts(h), MOST).astype("u1").tobytes() if mine else None)
                 items.append(h.tobytes() if mine else None)
             yield part[["id", "n"]].assign(point=points, items=items)
     return run
@@ -175,10 +182,23 @@ def _shared(chunk_rows: int, chunk_items: int):
     return run
 
 
-def _points(raw: list[bytes]) -> np.ndarray:
-    points = np.frombuffer(b"".join(raw), dtype="u2").reshape(len(raw), GROUPS).astype("i8")
-    points[points == MOST] = 1 << 40
-    return points
+def _points(raw: list[bytes]) -> tuple[np.ndarray, list[np.ndarray | None]]:
+    """Common points of a block, and the finer ones of its long sets."""
+    each = []
+    for x in raw:
+        point = np.frombuffer(x, dtype="u1").astype("i8")
+        point[point == MOST] = 1 << 40
+        each.append(point)
+    return np.stack([folded(p) for p in each]), [p if len(p) == FINE else None for p in each]
+
+
+def _finer(fine: list[np.ndarray | None], n: np.ndarray, i: int, near: np.ndarray, pct: int) -> np.ndarray:
+    """Of the partners found for member i, those that the finer points let through as well."""
+    mine = fine[i]
+    if mine is None or not len(near):
+        return near
+    ok = [fine[j] is None or (100 + pct) * np.minimum(mine, fine[j]).sum() >= pct * (n[i] + n[j]) for j in near]
+    return near[np.array(ok)]
 
 
 def _forest(pct: int):
@@ -188,12 +208,14 @@ def _forest(pct: int):
             members = sorted({(n, i): p for n, i, p in zip(part["n"], part["id"], part["point"])}.items())
             if len(members) < 2:
                 continue
-            points, n, ids, out = _points([p for _, p in members]), np.array([k[0] for k, _ in members]), [k[1] for k, _ in members], []
+            (points, fine), n, ids, out = _points([p for _, p in members]), np.array([k[0] for k, _ in members]), [k[1] for k, _ in members], []
             tree = CountTree(points, n)
             for i in range(1, len(members)):
                 near = tree.partners(points[i], n[i], pct)
-                if near.min() < i:
-                    out.append((ids[near.min()], ids[i]))
+                for j in np.sort(near[near < i]).tolist():
+                    if len(_finer(fine, n, i, np.array([j]), pct)):
+                        out.append((ids[j], ids[i]))
+                        break
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
     return run
@@ -204,7 +226,7 @@ def _search_block(pct: int):
     def run(parts):
         for part in groups_of(parts, "block"):
             side, ids, comp, n = (np.array(part[c]) for c in ("side", "id", "comp", "n"))
-            points = _points(part["point"])
+            points, fine = _points(part["point"])
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side != 0)
             one = not len(right)
             right = left if one else right
@@ -214,6 +236,8 @@ def _search_block(pct: int):
                 bound = np.minimum(points[:, None], points[None]).sum(axis=2)
                 near = (100 * n[:, None] >= pct * n) & (100 * n >= pct * n[:, None]) & ((100 + pct) * bound >= pct * (n[:, None] + n)) & (comp[:, None] > comp)
                 i, j = np.nonzero(near)
+                ok = [len(_finer(fine, n, x, np.array([y]), pct)) > 0 for x, y in zip(i, j)]
+                i, j = i[ok], j[ok]
                 if len(i):
                     yield pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
                 continue
@@ -223,7 +247,7 @@ def _search_block(pct: int):
                 if one:
                     near = near[near < j]
                 near = left[near]
-                near = near[comp[near] != comp[r]]
+                near = _finer(fine, n, r, near[comp[near] != comp[r]], pct)
                 if len(near):
                     out.append(np.c_[np.minimum(ids[near], ids[r]), np.maximum(ids[near], ids[r])])
             if out:
@@ -240,7 +264,7 @@ def _verify(pct: int):
 
 
 def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample_rows: int = 3000, common_in_sample: int = 8,
-                      max_common: int = 50_000, leads: int = 4, chunk_rows: int = 1500, chunk_items: int = 400_000, seeds: int = 8,
+                      max_common: int = 50_000, leads: int = 4, chunk_rows: int = 1500, chunk_items: int = 400_000, seeds: int = 8, broadcast_rows: int = 200_000,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
@@ -267,12 +291,20 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     tables.drop(base)
     names = slim.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     wanted = names.join(shared.select("id").distinct(), "id", "left_semi")
-    sets = tables.write(rows.join(wanted, "id").mapInPandas(_whole_sets(size), "id long, n int, point binary, items binary").where("items IS NOT NULL"))
+
+    def small(df: DataFrame) -> DataFrame:
+        """A written table, broadcast up to ``broadcast_rows`` rows of a few numbers each; beyond that it is shuffled."""
+        df = tables.write(df)
+        return F.broadcast(df) if df.count() <= broadcast_rows else df
+
+    sets = tables.write(rows.join(small(wanted), "id").mapInPandas(_whole_sets(size), "id long, n int, point binary, items binary").where("items IS NOT NULL"))
     points, items = sets.select("id", "n", "point"), sets.select("id", "items")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(items.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(items.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
-        return both.mapInPandas(_verify(pct), "a long, b long")
+        pairs = small(pairs)
+        x = items.withColumnRenamed("id", "a").join(pairs, "a").select("a", "b", F.col("items").alias("x"))
+        y = items.withColumnRenamed("id", "b").join(pairs, "b").select("a", "b", F.col("items").alias("y"))
+        return x.join(y, ["a", "b"]).mapInPandas(_verify(pct), "a long, b long")
 
     # First step: what shares a leading shingle, in blocks that all hold the first members of their bucket.
     lead = shared.where("lead")
