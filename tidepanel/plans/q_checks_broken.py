@@ -1,4 +1,4 @@
-"""Data-quality checks over derivations of the given tables that are wrong on purpose: each must report rows."""
+"""Checks over derivations of the given tables that are wrong on purpose (each must report rows), and estimate agreement."""
 
 from __future__ import annotations
 
@@ -48,7 +48,7 @@ def dq_score_range_broken(spark, sf_dir):
 
 @register("dq_step_capped_broken", """
 SELECT s_suppkey AS entity_id, 'sleep' AS lever_id, s_acctbal / 1000.0 AS recommended_step, CAST(1.5 AS DOUBLE) AS shortfall FROM supplier
-WHERE abs(s_acctbal / 1000.0) > 1.5 + 1e-6""")
+WHERE abs(s_acctbal / 1000.0) > 1.5 + 1e-6""", doubles=["recommended_step"])
 def dq_step_capped_broken(spark, sf_dir):
     s = read_table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "entity_id")
     recs = s.select("entity_id", F.lit("sleep").alias("lever_id"), (F.col("s_acctbal") / 1000.0).alias("recommended_step"))
@@ -90,3 +90,29 @@ def dq_label_names_broken(spark, sf_dir):
     fact = pp(spark, sf_dir).fact.select("entity_id", "date_day", "acwr", "injury_next_7d", "label_is_complete")
     named = [r.column_name for r in Q.label_named_columns(spark, fact, ["entity_id", "date_day"]).collect()]  # column names
     return fact.agg(*[F.count(c).alias(c) for c in named]).unpivot([], named, "column_name", "n_values")
+
+
+_RANKS = """(SELECT *, rank() OVER (PARTITION BY {by} ORDER BY e) + (count(*) OVER (PARTITION BY {by}, e) - 1) / 2.0 AS re,
+                rank() OVER (PARTITION BY {by} ORDER BY f) + (count(*) OVER (PARTITION BY {by}, f) - 1) / 2.0 AS rf FROM s)"""
+_SPEARMAN = "CASE WHEN stddev_pop(re) > 0 AND stddev_pop(rf) > 0 THEN covar_pop(re, rf) / (stddev_pop(re) * stddev_pop(rf)) END"
+_AGREE = ["mean_estimate", "mean_reference", "sign_agreement", "constant_guess", "pooled_spearman", "median_entity_spearman"]
+
+
+@register("estimate_agreement", f"""
+WITH s AS (SELECT l_suppkey AS k, l_returnflag AS c, round((l_discount - 0.05) * 1e9) / 1e9 AS e, round((l_tax - 0.03) * 1e9) / 1e9 AS f FROM lineitem),
+a AS (SELECT c, count(*) AS n_rows, avg(e) AS mean_estimate, avg(f) AS mean_reference,
+             avg(CASE WHEN abs(f) > 0.01 THEN CASE WHEN sign(e) = sign(f) THEN 1.0 ELSE 0.0 END END) AS sign_agreement,
+             greatest(avg(CASE WHEN abs(f) > 0.01 THEN CASE WHEN f > 0 THEN 1.0 ELSE 0.0 END END),
+                      avg(CASE WHEN abs(f) > 0.01 THEN CASE WHEN f < 0 THEN 1.0 ELSE 0.0 END END)) AS constant_guess FROM s GROUP BY 1),
+p AS (SELECT c, {_SPEARMAN} AS pooled_spearman FROM {_RANKS.format(by="c")} GROUP BY 1),
+q AS (SELECT c, k, {_SPEARMAN} AS x FROM {_RANKS.format(by="c, k")} GROUP BY 1, 2),
+m AS (SELECT c, percentile_cont(0.5) WITHIN GROUP (ORDER BY x) AS median_entity_spearman FROM q WHERE x IS NOT NULL GROUP BY 1)
+SELECT a.c AS category, n_rows, mean_estimate, mean_reference, sign_agreement, constant_guess, pooled_spearman, median_entity_spearman
+FROM a LEFT JOIN p ON p.c = a.c LEFT JOIN m ON m.c = a.c""", doubles=_AGREE)
+def estimate_agreement_q(spark, sf_dir):
+    """VAL1-2 over two derived effects of the line items: category is the return flag, entity the supplier."""
+    from tidepanel.operators.evaluate import estimate_agreement
+
+    tidy = lambda c, m: F.round((F.col(c) - m) * 1e9) / 1e9
+    rows = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("entity"), F.col("l_returnflag").alias("category"), tidy("l_discount", 0.05).alias("est"), tidy("l_tax", 0.03).alias("ref"))
+    return estimate_agreement(rows, "entity", "category", "est", "ref")

@@ -88,5 +88,4 @@ def levers(spark: SparkSession) -> DataFrame:
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """SRC3: a rule CSV with a header, quoted commas, pinned types, empty cell = NULL."""
-    return F.broadcast(spark.read.csv(path, header=True, schema=schema, quote='"', escape='"',
-                                      nullValue="", emptyValue=None))
+    return spark.read.csv(path, header=True, schema=schema, quote='"', escape='"', nullValue="")
