@@ -92,7 +92,7 @@ def solve(table: DataFrame, k: int, target: np.ndarray, tables: Tables, toleranc
         now = table.agg(*[F.sum(rates(F.col("rate")) * t * p[i]) for i in range(k)]).first()
         miss = np.array(now) / total - target
         loss = float(miss @ weight @ miss)
-        if loss < tolerance ** 2 or last - loss < 1e-9 * last:
+        if loss < tolerance ** 2 or last - loss < 1e-5 * last:
             break
         last = loss
         steps.append(weight @ miss)
@@ -102,7 +102,7 @@ def solve(table: DataFrame, k: int, target: np.ndarray, tables: Tables, toleranc
     return table.withColumn("rate", rates(F.col("rate")))
 
 
-def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_train: int = 6000, tolerance: float = 1e-5, max_steps: int = 200,
+def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_train: int = 6000, tolerance: float = 1e-4, max_steps: int = 200,
         keep: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with the columns ``keep`` (all by default), tokens, posterior, rate and copies.
 
