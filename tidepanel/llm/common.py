@@ -75,6 +75,13 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def slices(parts, rows: int = 1000):
+    """The same rows in smaller batches, so that what is made of a batch stays small."""
+    for part in parts:
+        for i in range(0, len(part), rows):
+            yield part.iloc[i:i + rows].reset_index(drop=True)
+
+
 def groups_of(parts, key: str):
     """Consecutive groups of a stream of batches sorted by ``key``: of each, its columns as lists."""
     import numpy as np

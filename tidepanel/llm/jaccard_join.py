@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import Tables, components, groups_of
+from tidepanel.llm.common import Tables, components, groups_of, slices
 
 #: Groups of a point, and of the finer one that sets of many shingles have as well. FINE is a multiple of GROUPS.
 GROUPS, FINE, LONG = 128, 1024, 800
@@ -38,7 +38,7 @@ _MIX = np.uint64(0xC4CEB9FE1A85EC53)
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -126,7 +126,7 @@ def _sets(size: int, pct: int, common, leads: int = 0):
     def run(parts):
         words = _Words()
         late = common.value if common is not None else np.empty(0, dtype="u8")
-        for part in parts:
+        for part in slices(parts):
             out = []
             for text in part["text"]:
                 h = shingles(text, size, words)
@@ -139,7 +139,7 @@ def _sets(size: int, pct: int, common, leads: int = 0):
 def _whole_sets(size: int):
     def run(parts):
         words = _Words()
-        for part in parts:
+        for part in slices(parts):
             points, items = [], []
             for key, text in zip(part["key"], part["text"]):
                 h = shingles(text, size, words)
@@ -257,7 +257,7 @@ def _search_block(pct: int):
 
 def _verify(pct: int):
     def run(parts):
-        for part in parts:
+        for part in slices(parts):
             ok = [x is not None and y is not None and similar(np.frombuffer(x, dtype="u8"), np.frombuffer(y, dtype="u8"), pct) for x, y in zip(part["x"], part["y"])]
             yield part.loc[ok, ["a", "b"]]
     return run
