@@ -130,7 +130,7 @@ def test_mixing_finds_the_least_squares(spark):
         r = np.maximum(0, r - p @ weight @ ((r * t) @ p / t.sum() - target))
     mine = np.array([x.rate for x in got])
     shares = (mine * np.array([x.tokens for x in got])) @ np.array([x.posterior for x in got]) / t.sum()
-    assert (mine == 0).any() and loss(shares - target) <= loss((r * t) @ p / t.sum() - target) + 1e-5
+    assert (mine == 0).any() and loss(shares - target) <= loss((r * t) @ p / t.sum() - target) + 1e-4
 
 
 def test_mixing_without_labels(documents, frame):
