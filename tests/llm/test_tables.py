@@ -122,7 +122,7 @@ def test_mixing_finds_the_least_squares(spark):
     p, t = rng.dirichlet([0.3, 0.3, 0.3], 300), rng.integers(1, 50, 300)
     target = np.array([0.0, 0.15, 0.85])
     df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "tokens long, posterior array<double>").repartition(4)
-    got = mixing.solve(df, 3, target, Tables(spark, "test"), 1e-7, 300).collect()
+    got = mixing.solve(df, [0, 1, 2], target, Tables(spark, "test"), 1e-7, 300).collect()
     weight = np.linalg.inv((p * t[:, None]).T @ p / t.sum())
     loss = lambda m: m @ weight @ m
     r = np.ones(300)

@@ -22,7 +22,7 @@ from tidepanel.llm.common import Tables
 from tidepanel.llm.divergence import CLASSES, class_counts
 
 HASHED = 2048
-#: Target shares of the domains "q<quality>t<toxic>"; domains without a share get none.
+#: Target shares of the domains "q<quality>t<toxic>"; a domain that isn't named is left free.
 TARGETS = {"q1t0": 0.90, "q0t0": 0.07, "q1t1": 0.02, "q0t1": 0.01}
 
 
@@ -70,9 +70,9 @@ def train(documents: DataFrame, labels: DataFrame, max_train: int, id_col: str,
     return names, w, b
 
 
-def solve(table: DataFrame, k: int, target: np.ndarray, tables: Tables, tolerance: float, max_steps: int, cut_every: int = 16) -> DataFrame:
-    """``table`` (tokens, posterior, ...) with its column rate fitted; target: shares of the tokens."""
-    p, t = F.col("posterior"), F.col("tokens").cast("double")
+def solve(table: DataFrame, domains: list[int], target: np.ndarray, tables: Tables, tolerance: float, max_steps: int, cut_every: int = 16) -> DataFrame:
+    """``table`` (tokens, posterior, ...) with its column rate fitted; target: shares of the tokens, of these domains."""
+    k, p, t = len(domains), [F.col("posterior")[i] for i in domains], F.col("tokens").cast("double")
     gram = table.agg(F.sum(t).alias("all"), *[F.sum(t * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     total = gram["all"] or 0.0
     if not total:
@@ -116,7 +116,7 @@ def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | Non
     posterior: array over the sorted domains of the labelled rows among ``documents``; tokens: words; rate >= 0; copies: the
     rate as a whole number, its fraction decided by a hash of id and text. The classifier is fitted on at most about ``max_train``
     labelled rows drawn by a hash of the id; memberships, sums and rates cover all rows. Targets are scaled to sum to 1 over the
-    domains there are. Without labelled rows, or without tokens, all rates are 1. Null and empty texts have no tokens and a rate
+    named domains there are; a domain without a target is left free. Without labelled rows, or without tokens, all rates are 1. Null and empty texts have no tokens and a rate
     like other texts. Repeated rows and ties have equal rates; a label row with a null is none. Columns called like
     the new ones are replaced.
     """
@@ -141,9 +141,11 @@ def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | Non
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(tokens, pa.int64()), pa.array(posterior, pa.list_(pa.float64()))], names=["row", "draw", "tokens", "posterior"])
 
     table = tables.write(rows.mapInArrow(run, schema))
-    target = np.array([(targets or TARGETS).get(d, 0.0) for d in names])
-    if k and target.sum() > 0:
-        table = solve(table, k, target / target.sum(), tables, tolerance, max_steps)
+    shares = TARGETS if targets is None else targets
+    domains = [i for i, d in enumerate(names) if d in shares]
+    target = np.array([shares[names[i]] for i in domains])
+    if target.sum() > 0:
+        table = solve(table, domains, target / target.sum(), tables, tolerance, max_steps)
     else:
         table = table.withColumn("rate", F.lit(1.0))
     whole = F.floor("rate")
