@@ -14,11 +14,14 @@ import hashlib
 import re
 from array import array
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.llm.common import slices
+
 #: Chunks a worker remembers, and the longest one it does.
 REMEMBERED, LONGEST = 500_000, 48
 #: A chunk is white space and what follows up to the next white space. Matches of the split patterns
@@ -258,7 +261,7 @@ def round_trip(documents: DataFrame, ranks_path: str, pattern: str, with_ids: bo
     def run(parts):
         coder = TextEncoder(state.value, pattern)
         sha = hashlib.sha256
-        for part in parts:
+        for part in slices(parts):
             out = {"id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if with_ids else {}) | ({"decoded": []} if with_text else {})
             out["id"] = part["id"]
             for ids in _in_blocks(coder, part["text"]):
@@ -267,7 +270,7 @@ def round_trip(documents: DataFrame, ranks_path: str, pattern: str, with_ids: bo
                 out["ids_sha256"].append(sha(",".join(map(coder.digits.__getitem__, ids)).encode()).hexdigest())
                 out["decoded_sha256"].append(sha(back).hexdigest())
                 if with_ids:
-                    out["ids"].append(ids)
+                    out["ids"].append(np.array(ids, dtype="i4"))
                 if with_text:
                     out["decoded"].append(back)
             yield pd.DataFrame(out).astype({"id": "Int64"})
