@@ -24,8 +24,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go from the texts; every document stays, with n_chars brought up to date."""
-    out = line_spread.remove_spread_lines(docs)
+    """Boilerplate lines go from all texts, whatever their share; every document stays, with n_chars brought up to date."""
+    out = line_spread.remove_spread_lines(docs, max_share=None)
     chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
     return out.select(*[chars.cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
 

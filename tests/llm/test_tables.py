@@ -187,3 +187,47 @@ def test_label_model_discounts_repeated_voters():
     post, rate, weight = weak_toxicity.label_model(votes, 0.3, np.where(votes.any(axis=1), 0.6, 0.1))
     assert weight[:3].min() > 0.6 and weight[3:].max() < 0.5
     assert ((post > 0.5) == y).mean() > 0.8 and rate[1, 0] > rate[0, 0]
+
+
+def all_spread_lines(rows, min_sites=5, min_chars=12):
+    """Every line on min_sites sites goes; from a text that is itself on as many, those on as many outside such texts."""
+    copies, everywhere, apart = defaultdict(set), defaultdict(set), defaultdict(set)
+    for text, site in rows:
+        if text is not None and site is not None:
+            copies[text].add(site)
+    wide = {t for t, s in copies.items() if len(s) >= min_sites}
+    for text, site in rows:
+        for line in (text or "").split("\n"):
+            if site is not None and len(key := line.strip(" \t\r\v\f")) >= min_chars:
+                everywhere[key].add(site)
+                if text not in wide:
+                    apart[key].add(site)
+    out = []
+    for text, _ in rows:
+        known = apart if text in wide else everywhere
+        lines = (text or "").split("\n")
+        hit = [len(known.get(x.strip(" \t\r\v\f"), ())) >= min_sites for x in lines]
+        out.append(("\n".join(x for x, h in zip(lines, hit) if not h), sum(hit)) if any(hit) else (text, 0))
+    return out
+
+
+def test_line_dedup_of_the_pipeline_leaves_no_proved_line(spark, documents):
+    """Texts of mostly boilerplate, once or copied on few sites, and a text whose own copies are on many."""
+    import corpus_pipeline
+    rng = random.Random(9)
+    common = {n: f"a line that {n} sites have, at some length" for n in (4, 5, 6, 40)}
+    rows = [(f"page {rng.random()} of {n}\n{line}", f"site{s}") for n, line in common.items() for s in range(n)]
+    rows += [(f"{common[40]}\nits own\n{common[6]} ", "site1"), (common[40], "site2"), (common[5] + "\n" + common[40], None)]
+    rows += [(f"{common[6]}\ntwo copies\n{common[40]}", f"site{s}") for s in (1, 2)]
+    article = "\n".join(["the first line of an article", common[40], "its second line here", common[4]])
+    rows += [(article, f"site{s % 9}") for s in range(12)] + [(f"a quote: \n{article.splitlines()[2]}\nand more", "site3"), ("", "site4"), (None, "site5"), ("\n\n", None)]
+    df = documents([t for t, _ in rows], sources=[s for _, s in rows])
+    want = all_spread_lines(rows)
+    for limit in (0, 1000):
+        got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.remove_spread_lines(df, max_share=None, broadcast_rows=limit).collect()}
+        assert [got[i] for i in range(len(rows))] == want
+    got = {r.doc_id: r for r in corpus_pipeline.line_dedup(spark, df, "").collect()}
+    assert [got[i].text for i in range(len(rows))] == [t for t, _ in want] and all(r.text is None or r.n_chars == len(r.text) for r in got.values())
+    at = next(i for i, r in enumerate(rows) if r[0] == article)
+    assert got[at].text.splitlines()[:2] == ["the first line of an article", "its second line here"] and got[at].text != article
+    assert got[sum(common)].text == "its own" and got[sum(common) + 1].text == ""
