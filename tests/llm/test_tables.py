@@ -231,3 +231,31 @@ def test_line_dedup_of_the_pipeline_leaves_no_proved_line(spark, documents):
     at = next(i for i, r in enumerate(rows) if r[0] == article)
     assert got[at].text.splitlines()[:2] == ["the first line of an article", "its second line here"] and got[at].text != article
     assert got[sum(common)].text == "its own" and got[sum(common) + 1].text == ""
+
+
+def test_surrogates_of_long_and_odd_entities(documents):
+    """Entities of any length go whole, up to white space or the closing quote."""
+    rng = random.Random(11)
+    run = lambda n, letters="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(rng.choice(letters) for _ in range(n))
+    whole = [("token=", run(300)), ("token=", ".".join(run(n) for n in (36, 400, 43))), ("password=", "p@ssw0rd!x"), ("password=", "p@ssw0rd.com!x~=="), ("secret=", run(5000)), ("api_key=", "10.20.30.40!abc"),
+             ('token = "', "a long secret of words"), ('api_key = "', run(3000, "abcdef0123456789")), ("password=", "пароль-из-слов"), ("passwd=", "!#$%&*!#$"), ("password=", "sk-" + run(20) + ".rest"), ("password=", "it's(a)secret!"),
+             ("", "sk-proj-" + run(140)), ("", "ghp_" + run(120)), ("", "ghp_" + run(30) + "_" + run(9)), ("", "AKIA" + run(100, "ABCDEFGHIJ0123456789") + "abc"), ("", "xoxb-" + run(5000)), ("", "sk-" + run(1000)),
+             ("", run(100) + "@mail.example.com"), ("", run(5000) + "@" + run(90) + ".example." + run(30, "abcdefgh"))]
+    names = ["Mr. John Paul Smith", "Mrs. Anna Maria Lena Weber", "Herr Müller-Lüdenscheidt", "Mr. O'Brien", "Frau McDonald", "Mr. " + "B" + run(100, "aeiou") + " Smith " + "T" + run(200, "bcd")]
+    texts = [f"see {before}{e}{chr(34) if before.endswith(chr(34)) else ''} and on" for before, e in whole] + [f"Dear {n}, hello" for n in names]
+    texts += ["to ann@x.com Smith and 736-555-2678 Smith", " Smith was here 10.20.30.40", "(password=abcdef1). Or password=abcdef1?"]
+    got = {r.doc_id: r for r in surrogates.pseudonymise(documents(texts), "k").collect()}
+    for i, (before, e) in enumerate(whole):
+        new = got[i].text.removeprefix(f"see {before}").removesuffix('" and on' if before.endswith('"') else " and on")
+        assert got[i].n_entities == 1 and len(new) == len(e) and got[i].text.startswith(f"see {before}"), (before, e[:60], got[i].text[:90])
+        letters = [(x, y) for x, y in zip(e[5:], new[5:]) if x.isalnum()]
+        assert sum(x == y for x, y in letters) <= 2 + 0.3 * len(letters) or "@" in e and not before, (e[:60], new[:60])
+    assert got[12].text.startswith("see sk-") and got[18].text.endswith(".com and on")
+    for i, n in enumerate(names, len(whole)):
+        words = n.split()[1:]
+        new = got[i].text.removeprefix(f"Dear {n.split()[0]} ").removesuffix(", hello").split()
+        assert got[i].n_entities == len(words) == len(new) and all(x != y and len(x) == len(y) for x, y in zip(words, new)), got[i].text
+    n = len(whole) + len(names)
+    assert got[n].n_entities == 2 and got[n].text.count("Smith") == 2 and got[n + 1].text.startswith(" Smith was here ")
+    found = re.fullmatch(r"\(password=(.*)\)\. Or password=(.*)\?", got[n + 2].text)
+    assert found and found[1] == found[2] != "abcdef1"

@@ -20,21 +20,26 @@ from tidepanel.llm.common import Tables
 
 #: Titles that come before a name.
 TITLES = "Mr|Mrs|Ms|Miss|Mister|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Doña|Don"
-NAME = r"\p{Lu}\p{Ll}{1,30}"
-#: Kinds in order of precedence, with the pattern of each.
+NAME = r"(?:\p{Lu}['’])?+\p{Lu}\p{Ll}++(?:-?\p{Lu}\p{Ll}++)*+"
+#: What ends a secret: white space, controls and a double quote; and what isn't its last character, as it belongs to the sentence around.
+BORDER, AROUND = r"\x00-\x20\x7f\p{Z}\"", r".,;:?'`>)\]}"
+#: Kinds in order of precedence, with the pattern of each. Runs have no upper bounds and give nothing back.
 KINDS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}",
+    "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+",
     "ip": r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d]|\.\d)",
     "card": r"(?<![\w-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\w-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ -]?)?(?:\(\d{2,4}\)[ -]?|\d{2,4}[ -])\d{3,4}[ -]\d{3,4}(?!\w)",
-    "key": r"(?<!\w)(?:AKIA[A-Z0-9]{12,20}|gh[pousr]_[A-Za-z0-9]{20,80}|sk-[A-Za-z0-9_-]{16,80}|xox[abp]-[A-Za-z0-9-]{10,80})(?!\w)",
-    "secret": r"(?<=[=\"])(?i:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=token = \")|(?<=api_key=)|(?<=api_key = \"))[A-Za-z0-9+/_-]{6,200}",
-    "name": rf"(?=\p{{Lu}})(?:(?<=\b(?:{TITLES})\.? ){NAME}|(?<=\b(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}} )(?!(?:{TITLES})\b){NAME})",
+    "key": r"(?<!\w)(?:AKIA[A-Z0-9]{12,}+\w*+|gh[pousr]_[A-Za-z0-9]{20,}+\w*+|sk-[A-Za-z0-9_-]{16,}+|xox[abp]-[A-Za-z0-9-]{10,}+[\w-]*+)",
+    "secret": r"(?<=[=\"])(?i:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=token = \")|(?<=api_key=)|(?<=api_key = \"))"
+              rf"(?:(?<= \")[^\"\x00-\x1f]{{6,}}+(?=\")|(?=[^{BORDER}]{{6}})(?:[{AROUND}]*+[^{AROUND}{BORDER}]++)++)",
+    # A further name follows the last match, which was a name after a space.
+    "name": rf"(?=\p{{Lu}})(?:(?<=\b(?:{TITLES})\.? ){NAME}|(?<=\G )(?<=\p{{Ll}} )(?<= \p{{Lu}}[\p{{L}}'’-]{{1,9999}} )(?!(?:{TITLES})\b){NAME})",
 }
 #: What any entity has, much cheaper to look for.
 SIGNS = rf"[0-9@=]|AKIA|gh[pousr]_|sk-|xox[abp]-|\b(?:{TITLES})\b"
 MARK, ESCAPE = "\x01", "\x02"
-ANY = "|".join(f"(?:{p})" for p in KINDS.values()).replace(r"([ -]?)\d{4}\1\d{4}\1", r"(?<gap>[ -]?)\d{4}\k<gap>\d{4}\k<gap>")
+#: A secret is looked for first, as parts of one can look like other kinds.
+ANY = "|".join(f"(?:{KINDS[k]})" for k in sorted(KINDS, key=lambda k: k != "secret")).replace(r"([ -]?)\d{4}\1\d{4}\1", r"(?<gap>[ -]?)\d{4}\k<gap>\d{4}\k<gap>")
 #: Letters that stand in for each other within a name, by script.
 SOUNDS = ["aeiou", "bcdfghjklmnprstvz", "аеиоуыэюя", "бвгджзклмнпрстфхцчш", "αεηιουω", "βγδζθκλμνπρστφχψ"]
 
@@ -114,7 +119,8 @@ def _render(kind: Column, e: Column, digest: Column) -> Column:
         return F.when(i >= size - 1, c).otherwise(F.when(low == c, new).otherwise(F.upper(new)))
     name = F.array_join(F.transform(chars, letter), "")
     hexed = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9]"), _pick("0123456789", digest, i)).otherwise(_pick("abcdef", digest, i))), "")
-    secret = F.when(e.rlike("^[0-9a-f]+$"), hexed).otherwise(_swap(chars, digest, lambda c, i: F.lit(False)))
+    ascii_ = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"[^\x00-\x7f]") | ~e.rlike("[0-9A-Za-z]"), _pick("abcdefghijklmnopqrstuvwxyz", digest, i)).otherwise(c)), "")
+    secret = F.when(e.rlike("^[0-9a-f]+$"), hexed).otherwise(_swap(_chars(ascii_), digest, lambda c, i: F.lit(False)))
     return F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card).when(kind == "phone", phone).when(kind == "key", key).when(kind == "name", name).otherwise(secret)
 
 
