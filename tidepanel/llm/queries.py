@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepanel.llm import divergence, jaccard_join, line_spread, metric_join, mixing, oracle, piece_count, prefix_bpe, resampling, suffix_dedup, surrogates, weak_toxicity, whitening
+from tidepanel.llm import divergence, jaccard_join, line_spread, metric_join, mixing, oracle, packing, piece_count, prefix_bpe, resampling, suffix_dedup, surrogates, weak_toxicity, whitening
 from tidepanel.llm.common import read
 
 #: Stands for the secret that a deployment passes to the operator.
@@ -61,6 +61,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 QUERIES = {f.__name__: f for f in (op1_metric_range_join, op2_divergence_quality, op3_line_spread, op4_surrogates, op5_soft_mixing,
-                                   op6_weak_toxicity, op7_jaccard_rtree, op8_piece_counts, op9_deep_shallow, op10_byte_bpe, op11_block_whitening, op12_importance_resampling)}
+                                   op6_weak_toxicity, op7_jaccard_rtree, op8_piece_counts, op9_deep_shallow, op10_byte_bpe, op11_block_whitening, op12_importance_resampling, op13_genetic_packing)}
 ORACLE_SQL = {op1_metric_range_join.__name__: oracle.OP1, op3_line_spread.__name__: oracle.OP3, op7_jaccard_rtree.__name__: oracle.OP7}
