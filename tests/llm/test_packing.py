@@ -90,8 +90,20 @@ def test_best_fit_takes_the_fullest():
     assert packing.best_fit([], [], 10) == []
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n'sStTÍͅΣ<|endoftext|>\t "), st.characters(codec="utf-8")), max_size=30), max_size=4))
-def test_chunks_equal_whole_texts(texts):
-    coder = test_chunks_equal_whole_texts.__dict__.setdefault("coder", packing.ChunkCoder(open(PATH, encoding="utf-8").read()))
-    assert [np.frombuffer(b, dtype="<u4").tolist() for b in coder.encode_all(texts)] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+ALPHABET = st.one_of(st.sampled_from(" \n'sStTÍͅΣςǅİ½²ªº·\x1c\x85\xa0’—€<|endoftext|>\t "), st.characters(codec="utf-8"), st.characters(max_codepoint=0x52F))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), max_size=5))
+def test_units_equal_whole_texts(texts):
+    coder = test_units_equal_whole_texts.__dict__.setdefault("coder", packing.UnitCoder(open(PATH, encoding="utf-8").read()))
+    assert [np.frombuffer(coder.encode(t), dtype="<u4").tolist() for t in texts] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_each_settled_character():
+    """Every settled character alone, beside letters, marks and digits."""
+    coder = packing.UnitCoder(open(PATH, encoding="utf-8").read())
+    for a, b in packing.SETTLED_RANGES:
+        for c in map(chr, range(a, b + 1)):
+            text = f"{c} a{c}b {c}{c} 1{c}2 ,{c}. {c}"
+            assert np.frombuffer(coder.encode(text), dtype="<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, hex(ord(c))

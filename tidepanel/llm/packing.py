@@ -9,6 +9,10 @@ of a shard stands, but for its least filled bins: those of sixteen shards are br
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -17,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from tidepanel.llm.common import Tables
 
@@ -24,58 +29,88 @@ CAPACITY, END_ID = 2048, 0
 #: Pieces of a shard; shards whose open bins make a shard of the next level; bins and pieces that a shard hands up.
 SHARD, FAN_IN, OPEN_BINS, OPEN_PIECES = 4096, 16, 32, 1024
 ISLANDS, EPOCHS, POPULATION, GENERATIONS, ELITES = 2, 3, 8, 8, 2
-#: Bytes of remembered chunks in a worker, characters of the longest one remembered, and characters encoded at a time.
-REMEMBERED, LONGEST, BLOCK = 32_000_000, 48, 1_000_000
+#: Bytes of remembered words in a worker, and characters of the longest one remembered.
+REMEMBERED, LONGEST = 96_000_000, 48
 
 
-class ChunkCoder:
+#: What the tokenizer's own pattern parts lower-case text into.
+UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters whose normal form, case and class are settled one by one: Latin, Greek and Cyrillic without combining marks, and common signs,
+#: without the two letters whose lower case is elsewhere.
+SETTLED_RANGES = ((0, 0x239), (0x23B, 0x23D), (0x23F, 0x2FF), (0x388, 0x482), (0x48A, 0x52F), (0x2010, 0x2027), (0x2030, 0x203E), (0x20A0, 0x20BF))
+
+
+def _class_of(kind: str) -> str:
+    """The settled characters of a general category, as ranges of a pattern."""
+    found = [i for a, b in SETTLED_RANGES for i in range(a, b + 1) if unicodedata.category(chr(i))[0] == kind]
+    return "".join(re.escape(chr(i)) for i in found)
+
+
+def _bytes_as_text() -> dict[int, str]:
+    """The usual byte-level alphabet: printable Latin-1 stands for itself, the rest follows from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
+class UnitCoder:
     """Token ids of texts, as little-endian unsigned 32-bit numbers.
 
-    A normaliser and pre-tokenizer that never join what a space or line feed parts give the ids of a text as those of its chunks between
-    them, one after another; each distinct chunk is encoded once.
+    A text of settled characters is parted into units (words, digits, marks) as the tokenizer does it, and each new unit is encoded once by its
+    merges. Of another text those chunks between spaces and line feeds that aren't settled go through the whole tokenizer, as its
+    parts never join anything over white space.
     """
 
     def __init__(self, tokenizer_json: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known, self.held = {"": b""}, 0
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") if t else () for t in texts]
-        new = list(set().union(*split) - self.known.keys())
-        long = [c for c in new if len(c) > LONGEST]
-        if self.held > REMEMBERED:
-            self.known, self.held = {"": b""}, 0
-            return self.encode_all(texts)
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
-        for c in long:
-            del self.known[c]
-        self.held += sum(200 + len(c) + len(self.known[c]) for c in new if len(c) <= LONGEST)
-        return out
+        numbers = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4").tobytes()
+        self.packed = [numbers[i:i + 4] for i in range(0, len(numbers), 4)]
+        self.merge, self.alphabet = self.tokenizer.model.tokenize, _bytes_as_text()
+        letters, numbers = _class_of("L"), _class_of("N")
+        self.settled = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SETTLED_RANGES) + "]*").fullmatch
+        self.units = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\t\n\x0b\x0c\r \x85\xa0{letters}{numbers}]+").findall
+        self.words, self.older, self.held = {}, {}, 0
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.settled(text) and "<|" not in text:
+            return self._settled(text)
+        return b"".join([self._settled(c) if self.settled(c) and "<|" not in c else np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                         for c in text.replace("\n", " ").split(" ") if c])
+
+    def _settled(self, text: str) -> bytes:
+        units = self.units(text.lower() if "Σ" not in text else "".join(map(str.lower, text)))  # a last sigma is like any other
+        try:
+            return b"".join(map(self.words.__getitem__, units))
+        except KeyError:
+            return b"".join([self.words.get(u) or self._word(u) for u in units])
+
+    def _word(self, unit: str) -> bytes:
+        known = self.older.get(unit)
+        if known is None:
+            known = b"".join([self.packed[t.id] for t in self.merge(unit if unit.isascii() and unit.isprintable() else unit.encode().decode("latin-1").translate(self.alphabet))])
+        if len(unit) <= LONGEST:
+            self.words[unit] = known
+            self.held += 200 + len(unit) + len(known)
+            if self.held > REMEMBERED // 2:  # words not met again since the last turn go
+                self.older, self.words, self.held = self.words, {}, 0
+        return known
 
 
 def separable(tokenizer_json: str) -> bool:
     """Whether texts may be cut at spaces and line feeds: the parts of the tokenizer are known to drop white space and to join nothing over it."""
-    import json
-
     spec = json.loads(tokenizer_json)
     norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
     norms = [(n["type"], n.get("pattern", {}).get("Regex"), n.get("content")) for n in norm.get("normalizers", [norm] if norm else [])]
     pres = pre.get("pretokenizers", [pre] if pre else [])
-    split = [p for p in pres if p["type"] == "Split" and p["behavior"] == "Removed" and p["invert"] and p["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
+    split = [p for p in pres if p["type"] == "Split" and p["behavior"] == "Removed" and p["invert"] and p["pattern"].get("Regex") == UNITS]
     plain = all(p in split or (p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"]) for p in pres)
     apart = all(" " not in t["content"] and "\n" not in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec.get("added_tokens", []))
-    return bool(split) and plain and apart and spec.get("post_processor") is None and all(n in (("NFC", None, None), ("Lowercase", None, None), ("Replace", r"\s+", " ")) for n in norms)
+    marked = (spec.get("model") or {}).get("end_of_word_suffix") == "</w>"
+    return bool(split) and plain and apart and marked and spec.get("post_processor") is None and all(n in (("NFC", None, None), ("Lowercase", None, None), ("Replace", r"\s+", " ")) for n in norms)
 
 
 def pieces_of(documents: DataFrame, tokenizer_path: str, capacity: int, end_id: int, with_ids: bool, id_col: str, text_col: str) -> DataFrame:
@@ -90,24 +125,14 @@ def pieces_of(documents: DataFrame, tokenizer_path: str, capacity: int, end_id:
     schema = T.StructType(fields + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []))
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def rows(coder, texts):
-        block, chars = [], 0
-        for t in texts:
-            block.append(t)
-            chars += len(t or "")
-            if chars >= BLOCK:
-                yield from coder.encode_all(block)
-                block, chars = [], 0
-        yield from coder.encode_all(block)
-
     def run(batches):
-        coder = state.value.get("coder") or state.value.setdefault("coder", ChunkCoder(state.value["json"]))
+        coder = state.value.get("coder") or state.value.setdefault("coder", UnitCoder(state.value["json"]))
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):
                 batch = whole.slice(a, 1000)
                 doc, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-                for i, data in enumerate(rows(coder, batch.column(1).to_pylist())):
-                    data += end
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    data = coder.encode(text) + end
                     for piece, start in enumerate(range(0, len(data) // 4, capacity)):
                         part = data[4 * start:4 * (start + capacity)]
                         doc.append(i)
