@@ -36,8 +36,8 @@ REMEMBERED, LONGEST = 96_000_000, 48
 #: What the tokenizer's own pattern parts lower-case text into.
 UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose normal form, case and class are settled one by one: Latin, Greek and Cyrillic without combining marks, and common signs,
-#: without the two letters whose lower case is elsewhere.
-SETTLED_RANGES = ((0, 0x239), (0x23B, 0x23D), (0x23F, 0x2FF), (0x388, 0x482), (0x48A, 0x52F), (0x2010, 0x2027), (0x2030, 0x203E), (0x20A0, 0x20BF))
+#: without the few letters whose lower case is elsewhere.
+SETTLED_RANGES = ((0, 0x239), (0x23B, 0x23D), (0x23F, 0x2FF), (0x388, 0x3FC), (0x400, 0x482), (0x48A, 0x52F), (0x2010, 0x2027), (0x2030, 0x203E), (0x20A0, 0x20BF))
 
 
 def _class_of(kind: str) -> str:
