@@ -1,4 +1,4 @@
-"""Registered queries backed by trained MLlib models (no SQL oracle: iterative training).
+"""Registered queries backed by the trained boosters (no SQL oracle: iterative training).
 
 Plus ``metric_pivot`` (SET5 / ML17), which pivots the long metric table of the
 rule-based models and therefore has an oracle.
@@ -7,12 +7,14 @@ rule-based models and therefore has an oracle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as C
+from tidepanel.operators import boost as B
 from tidepanel.operators import evaluate as EV
 from tidepanel.operators import learn as LN
 from tidepanel.plans.catalog import register
@@ -23,21 +25,23 @@ from tidepanel.plans.q_panel import pp
 
 E, D = "entity_id", "date_day"
 GROUPS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-# Booster settings of the two models (rate, depth, min rows per leaf).
-INJURY_GBT = dict(step=0.05, depth=5, min_leaf=150)
-RATING_GBT = dict(step=0.04, depth=3, min_leaf=40)
-MAX_ITER = 600
-# Each feature with its missing flag, and each column of the one-hot group.
-IMPORTANCE_FEATURES = {f: [f, f"{f}__missing"] for f in ML_FEATURES} | {f"group_{g}": [f"grp_{i}"] for i, g in enumerate(GROUPS)}
+FEATURES = [*ML_FEATURES, *[f"group_{g}" for g in GROUPS]]
+# Booster settings and monotone features of the two models (+1: the prediction must not fall as the feature grows; -1: must not rise).
+INJURY_RULES = B.Rules(classify=True, rounds=600, rate=0.05, depth=5, leaves=24, min_leaf=150, l2=2.0)
+RATING_RULES = B.Rules(classify=False, rounds=600, rate=0.04, depth=3, leaves=8, min_leaf=40, l2=3.0)
+MONOTONE_INJURY = {"sleep_hours_3d": -1, "sleep_hours_7d": -1, "sleep_hours_28d": -1, "protein_gpkg_7d": -1, "nordic_n": -1, "hrv_z": -1}
+MONOTONE_RATING = {"sleep_hours_3d": 1, "sleep_hours_7d": 1, "protein_gpkg_7d": 1, "carbs_gpkg_3d": 1, "carbs_gpkg_7d": 1, "hydration_l_3d": 1, "hydration_l_7d": 1,
+                   "yoyo_ir1_m": 1, "cmj_cm": 1, "squat_1rm_rel": 1, "sprint_30m_s": -1, "hrv_z": 1, "rating_avg_5m": 1}
 BASELINE_COLS = ["acwr", "prior_injuries", "age_years", "sleep_hours_7d", "protein_gpkg_7d", "nordic_n", "hrv_z"]
+TOP_FRACTIONS = [0.05, 0.10]
 
 
 @dataclass
 class Trained:
-    model: PipelineModel
-    best_iter: int
+    model: B.Booster
     platt_a: float
     platt_b: float
+    train: DataFrame
     test: DataFrame
 
 
@@ -45,44 +49,49 @@ def _split(df: DataFrame, p: PanelPipeline) -> DataFrame:
     return df.withColumn("data_split", C.add_split(D, p.p.train_end, p.p.val_end))
 
 
+def design(df: DataFrame) -> DataFrame:
+    """Features as doubles, null where missing, and the one-hot group; the other columns stay."""
+    keep = [c for c in df.columns if c not in ML_FEATURES]
+    onehot = [F.coalesce((F.col("position_group") == F.lit(g)).cast("double"), F.lit(0.0)).alias(f"group_{g}") for g in GROUPS]
+    return df.select(*keep, *[F.col(f).cast("double").alias(f) for f in ML_FEATURES], *onehot)
+
+
 def injury_model(p: PanelPipeline) -> Trained:
     cache = p.__dict__.setdefault("_models", {})
-    if "injury" in cache:
-        return cache["injury"]
-    mart = _split(p.injury_mart(), p)
-    lab = LN.design(mart.where(F.col("label_is_complete") == 1), ML_FEATURES, GROUPS) \
-        .withColumn("label", F.col("injury_next_7d").cast("double")).persist()
-    tr, va, te = (lab.where(F.col("data_split") == s) for s in ("train", "val", "test"))
-    model, best = LN.fit_gbt(tr, va, ML_FEATURES, len(GROUPS), "label", True, MAX_ITER, **INJURY_GBT)
-    a, b = LN.fit_platt(LN.positive_probability(model.transform(va)), "label")
-    cache["injury"] = Trained(model, best, a, b, te)
+    if "injury" not in cache:
+        lab = design(_split(p.injury_mart().where(F.col("label_is_complete") == 1), p)).withColumn("label", F.col("injury_next_7d").cast("double"))
+        tr, va, te = (lab.where(F.col("data_split") == s) for s in ("train", "val", "test"))
+        model = B.fit(tr, va, FEATURES, "label", INJURY_RULES, MONOTONE_INJURY)
+        a, b = LN.fit_platt(B.predict(va, model, ["label"], "raw_p"), "label")
+        cache["injury"] = Trained(model, a, b, tr, te)
     return cache["injury"]
 
 
 def rating_model(p: PanelPipeline) -> Trained:
     cache = p.__dict__.setdefault("_models", {})
-    if "rating" in cache:
-        return cache["rating"]
-    mart = LN.design(_split(p.perf_mart(), p), ML_FEATURES, GROUPS) \
-        .withColumn("label", F.col("performance_rating").cast("double")).persist()
-    tr, va, te = (mart.where(F.col("data_split") == s) for s in ("train", "val", "test"))
-    model, best = LN.fit_gbt(tr, va, ML_FEATURES, len(GROUPS), "label", False, MAX_ITER, **RATING_GBT)
-    cache["rating"] = Trained(model, best, 0.0, 1.0, te)
+    if "rating" not in cache:
+        mart = design(_split(p.perf_mart(), p)).withColumn("label", F.col("performance_rating").cast("double"))
+        tr, va, te = (mart.where(F.col("data_split") == s) for s in ("train", "val", "test"))
+        cache["rating"] = Trained(B.fit(tr, va, FEATURES, "label", RATING_RULES, MONOTONE_RATING), 0.0, 1.0, tr, te)
     return cache["rating"]
 
 
 def gbt_score_frame(p: PanelPipeline) -> DataFrame:
     """ML7 with the trained booster: calibrated probability for every available entity-day."""
     t = injury_model(p)
-    mart = _split(p.injury_mart(), p)
-    x = LN.design(mart, ML_FEATURES, GROUPS)
-    s = LN.positive_probability(t.model.transform(x))
-    return s.select(E, D, "raw_p", LN.platt(F.col("raw_p"), t.platt_a, t.platt_b).alias("injury_risk_7d"),
-                    F.when(F.col("label_is_complete") == 1, F.col("data_split")).otherwise("scoring_only")
-                    .alias("data_split"), "label_is_complete", "injury_next_7d")
+    split = F.when(F.col("label_is_complete") == 1, F.col("data_split")).otherwise("scoring_only")
+    x = design(_split(p.injury_mart(), p).withColumn("data_split", split))
+    s = B.predict(x, t.model, [E, D, "data_split", "label_is_complete", "injury_next_7d"], "raw_p")
+    return s.withColumn("injury_risk_7d", LN.platt(F.col("raw_p"), t.platt_a, t.platt_b))
+
+
+def model_version(p: PanelPipeline) -> str:
+    """PRJ20: the last day of the panel and the shape of both models, so a retrained model has a new name."""
+    i, r = injury_model(p), rating_model(p)
+    return f"v{p.calendar.end.strftime('%Y%m%d')}-i{i.model.rounds}-r{r.model.rounds}"
 
 
-@register("gbt_scores", note="MLlib GBT + Platt; rows-only check")
+@register("gbt_scores", note="trained booster and Platt calibration; rows-only check")
 def gbt_scores(spark, sf_dir):
     s = gbt_score_frame(pp(spark, sf_dir))
     return s.select(E, D, "injury_risk_7d", C.risk_band("injury_risk_7d").alias("risk_band"), "data_split")
@@ -97,69 +106,73 @@ def platt_scores(spark, sf_dir):
                     F.lit(t.platt_b).alias("platt_slope"))
 
 
-@register("rating_gbt_predictions", note="MLlib GBT regressor; rows-only check")
+@register("rating_gbt_predictions", note="trained booster; rows-only check")
 def rating_gbt_predictions(spark, sf_dir):
     p = pp(spark, sf_dir)
-    t = rating_model(p)
-    x = LN.design(_split(p.injury_mart(), p), ML_FEATURES, GROUPS)
-    return t.model.transform(x).select(E, D, F.col("prediction").alias("predicted_rating"), "data_split")
+    return B.predict(design(_split(p.injury_mart(), p)), rating_model(p).model, [E, D, "data_split"], "predicted_rating").select(E, D, "predicted_rating", "data_split")
 
 
 @register("permutation_importance", note="injury model, loss of AUC over the whole test split; rows-only check")
 def permutation_importance(spark, sf_dir):
-    p = pp(spark, sf_dir)
-    cache = p.__dict__.setdefault("_models", {})
-    if "importance" not in cache:
-        t = injury_model(p)
-        rows = t.test.select(E, D, "label", *[c for cols in IMPORTANCE_FEATURES.values() for c in cols])
-        cache["importance"] = LN.permutation_importance(t.model, rows, IMPORTANCE_FEATURES, "label", "auc", repeats=3).persist()
-    return cache["importance"]
+    t = injury_model(pp(spark, sf_dir))
+    return B.permutation_importance(t.model, t.test, "label", repeats=3)
 
 
 @register("permutation_importance_rating", note="rating model, loss of MAE over the whole test split; rows-only check")
 def permutation_importance_rating(spark, sf_dir):
-    p = pp(spark, sf_dir)
-    t = rating_model(p)
-    rows = t.test.select(E, D, "label", *[c for cols in IMPORTANCE_FEATURES.values() for c in cols])
-    return LN.permutation_importance(t.model, rows, IMPORTANCE_FEATURES, "label", "mae", repeats=5)
+    t = rating_model(pp(spark, sf_dir))
+    return B.permutation_importance(t.model, t.test, "label", repeats=5)
 
 
-@register("model_metrics_gbt", note="test-split metrics of the trained models; rows-only check")
-def model_metrics_gbt(spark, sf_dir):
-    """ML17: long (model, metric, value, split) table for the booster, its baselines and the rating model."""
+@register("staged_losses", note="ML5: validation loss of every round and the rounds kept; rows-only check")
+def staged_losses(spark, sf_dir):
     p = pp(spark, sf_dir)
-    t = injury_model(p)
-    te = LN.positive_probability(t.model.transform(t.test)).withColumn(
-        "p", LN.platt(F.col("raw_p"), t.platt_a, t.platt_b))
-    y = "label"
+    rows = [(name, i + 1, loss, i + 1 == t.model.rounds) for name, t in (("injury_risk_7d", injury_model(p)), ("performance_rating", rating_model(p))) for i, loss in enumerate(t.model.losses)]
+    return spark.createDataFrame(rows, "model_name string, round int, validation_loss double, kept boolean")
+
+
+def _long(wide: DataFrame, model: str) -> DataFrame:
+    return wide.unpivot([], wide.columns, "metric", "value").select(F.lit(model).alias("model_name"), "metric", F.col("value").cast("double").alias("value"))
+
+
+def injury_metrics(p: PanelPipeline) -> DataFrame:
+    """(model_name, metric, value): AUC, average precision, Brier, top fractions, and the two baselines on the same test rows."""
+    t, y = injury_model(p), "label"
+    te = B.predict(t.test, t.model, [E, D, "label", "acwr"], "raw_p").withColumn("p", LN.platt(F.col("raw_p"), t.platt_a, t.platt_b))
+    base = LN.baseline_logistic(t.train, BASELINE_COLS, y)
+    bt = base.transform(t.test.select(*BASELINE_COLS, y)).withColumn("bp", vector_to_array("__bprob")[1])
     parts = [EV.roc_auc(te, y, "p").select("roc_auc"),
              EV.average_precision(te, y, "p").select(F.col("average_precision").alias("pr_auc")),
              EV.brier(te, y, "p").select("brier", "base_rate"),
-             EV.roc_auc(te.withColumn("__a", F.coalesce("acwr__imp", F.lit(1.0))), y, "__a")
-             .select(F.col("roc_auc").alias("baseline_acwr_only_roc_auc"))]
-    train = p.injury_mart().where(F.col("label_is_complete") == 1)
-    train = _split(train, p)
-    base = LN.baseline_logistic(train.where(F.col("data_split") == "train").withColumn(
-        "injury_next_7d", F.col("injury_next_7d").cast("double")), BASELINE_COLS, "injury_next_7d")
-    from pyspark.ml.functions import vector_to_array
-
-    bt = base.transform(train.where(F.col("data_split") == "test").select(*BASELINE_COLS, "injury_next_7d")) \
-        .withColumn("__bp", vector_to_array("__bprob")[1])
-    parts.append(EV.roc_auc(bt, "injury_next_7d", "__bp").select(F.col("roc_auc").alias("baseline_logistic_roc_auc")))
-    wide = parts[0]
-    for q in parts[1:]:
-        wide = wide.crossJoin(q)
-    long_inj = wide.unpivot([], wide.columns, "metric", "value").select(
-        F.lit("injury_risk_7d").alias("model_name"), "metric", F.col("value").cast("double").alias("value"))
-    r = rating_model(p)
-    rt = r.model.transform(r.test)
-    reg = EV.regression_metrics(rt, "label", "prediction").drop("n")
-    long_reg = reg.unpivot([], reg.columns, "metric", "value").select(
-        F.lit("performance_rating").alias("model_name"), "metric", F.col("value").cast("double").alias("value"))
-    version = f"v{p.calendar.end.strftime('%Y%m%d')}"
-    return long_inj.unionByName(long_reg).withColumn("model_version", F.lit(version)) \
-        .withColumn("data_split", F.lit("test")) \
-        .withColumn("best_iter", F.lit(t.best_iter).cast("long"))
+             EV.roc_auc(te.withColumn("a", F.coalesce("acwr", F.lit(1.0))), y, "a").select(F.col("roc_auc").alias("baseline_acwr_only_roc_auc")),
+             EV.roc_auc(bt, y, "bp").select(F.col("roc_auc").alias("baseline_logistic_roc_auc")),
+             EV.average_precision(bt, y, "bp").select(F.col("average_precision").alias("baseline_logistic_pr_auc"))]
+    top = EV.top_fraction(te, y, "p", TOP_FRACTIONS, [E, D]).unpivot(["top_pct"], ["precision", "lift", "recall"], "metric", "value")
+    top = top.select(F.concat("metric", F.lit("_top"), F.col("top_pct").cast("string"), F.lit("pct")).alias("metric"), F.col("value").cast("double").alias("value"))
+    return _long(reduce(DataFrame.crossJoin, parts), "injury_risk_7d").unionByName(top.select(F.lit("injury_risk_7d").alias("model_name"), "metric", "value"))  # one row each
+
+
+def rating_metrics(p: PanelPipeline) -> DataFrame:
+    """(model_name, metric, value): errors of the model and of its mean, form and ridge baselines on the same test rows."""
+    t, y = rating_model(p), "label"
+    row = t.train.agg(F.avg(y).alias("mean"), F.avg("rating_avg_5m").alias("form")).first()
+    ridge = LN.baseline_ridge(t.train, FEATURES, y)
+    te = B.predict(t.test, t.model, [y, "rating_avg_5m"], "prediction")
+    te = te.withColumn("mean", F.lit(row["mean"])).withColumn("form", F.coalesce("rating_avg_5m", F.lit(row["form"])))
+    rt = ridge.transform(t.test.select(*FEATURES, y))
+    pick = lambda df, col, names: EV.regression_metrics(df, y, col).select(*[F.col(c).alias(n) for c, n in names.items()])
+    return _long(reduce(DataFrame.crossJoin, [  # one row each
+        pick(te, "prediction", {c: c for c in ("mae", "rmse", "r2", "rating_sd")}), pick(te, "mean", {"mae": "baseline_mean_mae"}),
+        pick(te, "form", {"mae": "baseline_form_mae", "r2": "baseline_form_r2"}), pick(rt, "__bpred", {"mae": "baseline_ridge_mae", "r2": "baseline_ridge_r2"})]), "performance_rating")
+
+
+@register("model_metrics_gbt", note="ML17: test-split metrics of the trained models and their baselines; rows-only check")
+def model_metrics_gbt(spark, sf_dir):
+    p = pp(spark, sf_dir)
+    out = injury_metrics(p).unionByName(rating_metrics(p))
+    rounds = F.when(F.col("model_name") == "injury_risk_7d", injury_model(p).model.rounds).otherwise(rating_model(p).model.rounds)
+    return out.withColumn("model_version", F.lit(model_version(p))).withColumn("data_split", F.lit("test")).withColumn("best_iter", rounds.cast("long")) \
+        .withColumn("trained_at", F.date_trunc("second", F.current_timestamp()))
 
 
 # ----------------------------------------------------------------------------- SET5 on the rule models (oracle)
