@@ -102,6 +102,20 @@ def test_overlaps_equal_self_join(spark):
     assert got == brute
 
 
+def test_overlaps_of_long_equal_and_odd_intervals(spark):
+    """Random intervals with ties, copies, missing and reversed ends against the self-join; a thousand years cost two events."""
+    import datetime as dt
+
+    rng, d = random.Random(5), dt.date(2025, 1, 1)
+    rows = [(rng.choice("AAAB"), f"i{rng.randrange(60):02}", s := d + dt.timedelta(rng.randrange(40)), rng.choice([None, s + dt.timedelta(rng.choice([-2, 0, 0, 1, 3, 9]))])) for _ in range(120)]
+    rows += rows[:5] + [("C", "z1", dt.date(1000, 1, 1), dt.date(2999, 12, 31)), ("C", "z2", d, d), ("C", "z0", d, None), ("B", "y", None, d), (None, "x", d, d)]
+    iv = spark.createDataFrame(rows, "entity_id string, injury_id string, s date, e date").repartition(3)
+    found = Q.overlaps(iv, "entity_id", "injury_id", "s", "e")
+    brute = {(a[0], a[1], b[1]) for a in rows for b in rows if None not in (*a, b[0], b[2]) and a[0] == b[0] and a[1] < b[1] and a[2] <= b[2] <= a[3]}
+    assert sorted(tuple(r) for r in found.collect()) == sorted(brute) and ("C", "z1", "z2") in brute
+    assert Q.overlaps(iv.where("false"), "entity_id", "injury_id", "s", "e").count() == 0
+
+
 def test_spearman_constant_is_null(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0), ("a", 2.0, 5.0), ("b", 1.0, 1.0), ("b", 2.0, 3.0), ("b", 3.0, 2.0)],
                                "g string, x double, y double")

@@ -2,7 +2,7 @@
 
 All checks are distributed: NULL/range/accepted filters are narrow scans,
 uniqueness is a partial aggregate, relationships are anti joins, and the
-interval-overlap check explodes intervals to days and equi-joins, so it never
+interval-overlap check sweeps over sorted starts and ends, so it never
 compares all pairs of one entity.
 """
 
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepanel.operators.ranking import running_totals
+
 
 def not_null(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     """DQ1."""
@@ -68,24 +70,26 @@ def row_parity(a: DataFrame, b: DataFrame, a_name: str = "a_rows", b_name: str =
 
 
 def overlaps(intervals: DataFrame, entity: str, id_col: str, start: str, end: str) -> DataFrame:
-    """DQ9 / JN9: pairs (a, b), a.id < b.id, b starts inside a's [start, end].
+    """DQ9 / JN9: pairs (a, b), a.id < b.id, b starts inside a's [start, end], of one entity.
 
-    Exact pair semantics of the self-join, computed as explode(a) equi-join b
-    on (entity, day): the work is the covered days plus the true matches.
+    A sweep over events: starts and ends are sorted by (entity, day, starts first, id) over all tasks, and a running count numbers the
+    starts. The starts inside an interval are then the numbers after its own up to the count at its end, so an interval of any length is two
+    events, one without company goes no further, and what is joined by number are the true matches alone. Numbers are spread
+    by ranges, so a hot entity is shared by many tasks. An interval without a start or an end, or that ends before it starts, holds nothing.
     """
-    a = intervals.select(F.col(entity).alias("__e"), F.col(id_col).alias("injury_a"),
-                         F.explode(F.sequence(F.col(start), F.col(end), F.expr("INTERVAL 1 DAY"))).alias("__d"))
-    b = intervals.select(F.col(entity).alias("__e"), F.col(id_col).alias("injury_b"), F.col(start).alias("__d"))
-    return (a.join(b, ["__e", "__d"], "inner").where(F.col("injury_a") < F.col("injury_b"))
-            .select(F.col("__e").alias(entity), "injury_a", "injury_b").distinct())
-
-
-def overlap_precheck(intervals: DataFrame, entity: str, start: str, end: str, id_col: str) -> DataFrame:
-    """Cheap O(n log n) screen: starts that fall before the running max end of earlier intervals."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(entity).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
-    return intervals.withColumn("__prev_end", F.max(end).over(w)).where(F.col(start) <= F.col("__prev_end"))
+    iv = intervals.select(F.col(entity).alias("__e"), F.col(id_col).alias("__i"), F.col(start).alias("__s"), F.col(end).alias("__t")).where(F.col("__s").isNotNull() & F.col("__e").isNotNull())
+    events = iv.select("__e", "__i", "__s", "__t", F.explode(F.array(F.struct(F.col("__s").alias("day"), F.lit(0).alias("late")), F.struct(F.col("__t").alias("day"), F.lit(1).alias("late")))).alias("__v"))
+    events = events.select("__e", "__i", "__s", "__t", F.col("__v.day").alias("__day"), F.col("__v.late").alias("__late"), (1 - F.col("__v.late")).cast("long").alias("__n")).where(F.col("__day") >= F.col("__s"))
+    swept = running_totals(events, ["__e", "__day", "__late", "__i", "__t", "__s"], ["__n"])
+    own = ["__e", "__i", "__s", "__t"]
+    starts = swept.where("__late = 0").select(*own, F.col("__n_cum").alias("__at"))
+    # Equal intervals are one another's copies: the first of their numbers stands for all, and they have the same last one.
+    first = starts.where("__t IS NOT NULL").groupBy(*own).agg(F.min("__at").alias("__first"))
+    last = swept.where("__late = 1").groupBy(*own).agg(F.max("__n_cum").alias("__last"))
+    reach = first.join(last, own).where("__last > __first")
+    inside = reach.select(F.col("__i").alias("injury_a"), F.explode(F.sequence(F.col("__first") + 1, F.col("__last"))).alias("__at"))
+    b = starts.select("__at", F.col("__e").alias(entity), F.col("__i").alias("injury_b"))
+    return inside.join(b, "__at").where(F.col("injury_a") < F.col("injury_b")).select(entity, "injury_a", "injury_b").distinct()
 
 
 def label_window(df: DataFrame, label: str, complete: str, day: str, last_day, horizon: int) -> DataFrame:
