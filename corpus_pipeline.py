@@ -31,10 +31,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one of the smallest id stays, once; rows with a null id stay."""
-    found = jaccard_join.similar_documents(docs)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """Of each component of similar documents one row of the smallest id stays; rows with a null id and texts without words stay.
+
+    Rows that repeat an id are judged each by its own text, and equal rows become one.
+    """
+    found = jaccard_join.similar_documents(docs, with_keys=True).where("doc_id IS NOT NULL")
+    first = found.where("doc_id = component_id AND component_key IS NOT NULL").groupBy("component_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("row.*")
+    keep = first.unionByName(found.where("component_key IS NULL").select("doc_id", "text_hash")).distinct().select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    own = docs.where("doc_id IS NOT NULL")
+    kept = own.join(keep, (own["doc_id"] == F.col("_id")) & (F.xxhash64(own["text"]) == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

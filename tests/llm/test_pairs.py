@@ -144,3 +144,22 @@ def test_deep_shallow_order():
         bits = [os.urandom(rng.randrange(30)) for _ in range(4)] + [b"", b"a", b"aaaaaaaa", b"\x00"]
         strings = [b"".join(rng.choice(bits) for _ in range(rng.randrange(8))) for _ in range(rng.randrange(1, 60))]
         assert [strings[i] for i in suffix_dedup.deep_shallow(strings)] == sorted(strings)
+
+
+def test_rows_that_share_an_id(spark, documents):
+    """A text whose id another text has too stays: sets are the nodes, ids only names."""
+    import corpus_pipeline
+
+    a, b = " ".join(f"alpha{i}" for i in range(60)), " ".join(f"beta{i}" for i in range(60))
+    near, nearer = a + " end", a + " the end"
+    texts = [a, near, b, nearer, b, "", None, "", a]
+    ids = [1, 2, 2, 7, 2, 3, 3, 3, None]
+    docs = documents(texts, ids=ids)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id, r.component_key is None) for r in jaccard_join.similar_documents(docs, with_keys=True).collect())
+    assert got == sorted([(1, 56, 1, False), (2, 57, 1, False), (2, 56, 2, False), (7, 58, 1, False), (2, 56, 2, False), (3, 0, 3, True), (3, 0, 3, True), (3, 0, 3, True), (-1, 56, None, True)], key=lambda r: (r[0], r[1], r[2] or 0))
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, "-" if r.text is None else r.text) for r in kept.collect()) == sorted([(1, a), (2, b), (3, ""), (3, "-"), (0, a)])
+    # Two similar texts of one id are one component: one of them stays.
+    kept = corpus_pipeline.near_duplicates(spark, documents([a, near, b], ids=[5, 5, 5]), "").collect()
+    assert len(kept) == 2 and b in {r.text for r in kept}

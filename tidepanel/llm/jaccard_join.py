@@ -132,7 +132,7 @@ def _sets(size: int, pct: int, common, leads: int = 0):
                 h = shingles(text, size, words)
                 key = hashlib.md5(h.tobytes()).digest() if len(h) else None
                 out.append((len(h), key, prefix(h, pct, late).view("i8"), (h[:leads] ^ _LEAD).view("i8")))
-            yield pd.DataFrame(out, columns=["n", "key", "first", "lead"]).assign(id=part["id"].astype("Int64"))
+            yield pd.DataFrame(out, columns=["n", "key", "first", "lead"]).assign(id=part["id"].astype("Int64"), text_hash=part["text_hash"])
     return run
 
 
@@ -265,39 +265,48 @@ def _verify(pct: int):
 
 def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample_rows: int = 3000, common_in_sample: int = 8,
                       max_common: int = 50_000, leads: int = 4, chunk_rows: int = 1500, chunk_items: int = 400_000, seeds: int = 8, broadcast_rows: int = 200_000,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", with_keys: bool = False) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Two texts link when their sets of ``size``-word shingles have a Jaccard similarity of ``pct`` % or more; a text of fewer
     words is one shingle. Null, empty and blank texts have no shingle, link with nothing and are components of
     their own; so are rows with a null id, whose component is null. Rows that repeat an id are judged each by its
-    own text, and the id stands for all of them as a component's name. Equal sets link. Other columns are ignored.
+    own text: their sets are nodes of their own, so two components may bear the name of one id. ``with_keys`` adds what tells those
+    apart: component_key (one number per component, null without shingles) and text_hash (xxhash64 of the text). Equal sets link. Other columns are ignored.
     """
     spark = documents.sparkSession
     tables = Tables(spark, "jaccard")
-    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
+    spec = "id long, n int, key binary, first array<long>, lead array<long>, text_hash long"
     total = max(1, rows.count())
     seen = (rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1, sample_rows / total)) + 1)
-            .mapInPandas(_sets(size, 0, None), "id long, n int, key binary, first array<long>, lead array<long>")
+            .mapInPandas(_sets(size, 0, None), spec)
             .select(F.explode("first").alias("s")).groupBy("s").count().where(F.col("count") >= common_in_sample)
             .orderBy(F.desc("count"), "s").limit(max_common).select("s").toPandas()["s"])
     common = spark.sparkContext.broadcast(np.sort(seen.to_numpy(dtype="i8").view("u8")))  # max_common numbers at most
-    base = tables.write(rows.mapInPandas(_sets(size, pct, common, leads), "id long, n int, key binary, first array<long>, lead array<long>"))
-    classes = base.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("lead").alias("lead"))
+    base = tables.write(rows.mapInPandas(_sets(size, pct, common, leads), spec))
+    slim = tables.write(base.select("id", "n", "key", "text_hash"))
+    able = "key IS NOT NULL AND id IS NOT NULL"
+    # A set's node is the smallest id that has it; where different sets have the same smallest id, nodes are numbers and the ids return at the end.
+    least = slim.where(able).groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("m"), F.first("n").alias("n"))
+    names = tables.write(least.select("key", "n", F.col("m.id").alias("doc"), F.col("m.text_hash").alias("text_hash"), F.monotonically_increasing_id().alias("number")))
+    clash = not names.groupBy("doc").count().where("count > 1").isEmpty()
+    names = names.withColumn("id", F.col("number" if clash else "doc"))
+    classes = base.where(able).groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("lead").alias("lead"))
+    if clash:
+        classes = classes.drop("id").join(names.select("key", "id"), "key")
     marked = F.concat(F.transform("first", lambda x: F.struct(x.alias("s"), F.lit(False).alias("lead"))), F.transform("lead", lambda x: F.struct(x.alias("s"), F.lit(True).alias("lead"))))
     postings = classes.select("id", "n", F.explode(marked).alias("p")).select("p.s", "id", "n", "p.lead")
     shared = tables.write(postings.repartition("s").sortWithinPartitions("s", "id").mapInPandas(_shared(chunk_rows, chunk_items), "s long, id long, n int, lead boolean, chunk long"))
-    slim = tables.write(base.select("id", "n", "key"))
     tables.drop(base)
-    names = slim.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    wanted = names.join(shared.select("id").distinct(), "id", "left_semi")
+    wanted = names.join(shared.select("id").distinct(), "id", "left_semi").select("doc", "text_hash", "key", "n", "id")
 
     def small(df: DataFrame) -> DataFrame:
         """A written table, broadcast up to ``broadcast_rows`` rows of a few numbers each; beyond that it is shuffled."""
         df = tables.write(df)
         return F.broadcast(df) if df.count() <= broadcast_rows else df
 
-    sets = tables.write(rows.join(small(wanted), "id").mapInPandas(_whole_sets(size), "id long, n int, point binary, items binary").where("items IS NOT NULL"))
+    sets = tables.write(rows.withColumnRenamed("id", "doc").join(small(wanted), ["doc", "text_hash"]).mapInPandas(_whole_sets(size), "id long, n int, point binary, items binary").where("items IS NOT NULL"))
     points, items = sets.select("id", "n", "point"), sets.select("id", "items")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -326,6 +335,11 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     pairs = (dealt.join(points, "id").repartition("block").sortWithinPartitions("block")
              .mapInPandas(_search_block(pct), "a long, b long").distinct())
     found = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(verified(pairs)), tables)
-    answer = names.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
+    answer = names.select("key", "id", "doc").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "doc", F.coalesce("component", "id").alias("component_key"))
+    if clash:
+        answer = answer.join(answer.groupBy("component_key").agg(F.min("doc").alias("component_id")), "component_key").select("key", "component_key", "component_id")
+    else:
+        answer = answer.select("key", "component_key", F.col("component_key").alias("component_id"))
     return (slim.join(answer, "key", "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")))
+            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+                    *([F.when(F.col("id").isNotNull(), F.col("component_key")).alias("component_key"), "text_hash"] if with_keys else [])))
