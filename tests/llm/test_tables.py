@@ -7,23 +7,6 @@ import numpy as np
 from tidepanel.llm import line_spread, mixing, surrogates, weak_toxicity
 
 
-def spread_lines(rows, min_sites=5, min_chars=12, share=0.5):
-    sites = defaultdict(set)
-    for text, site in rows:
-        for line in (text or "").split("\n"):
-            if site is not None and len(key := line.strip(" \t\r\v\f")) >= min_chars:
-                sites[key].add(site)
-    out = []
-    for text, _ in rows:
-        lines = (text or "").split("\n")
-        hit = [len(sites[k]) >= min_sites if (k := x.strip(" \t\r\v\f")) in sites else False for x in lines]
-        if text is None or not any(hit) or sum(len(x) for x, h in zip(lines, hit) if h) > share * sum(map(len, lines)):
-            out.append((text, 0))
-        else:
-            out.append(("\n".join(x for x, h in zip(lines, hit) if not h), sum(hit)))
-    return out
-
-
 def test_line_spread(documents):
     rng = random.Random(8)
     common = {n: f"a line that {n} sites have" for n in (1, 3, 4, 5, 6, 12, 40)}
@@ -36,7 +19,7 @@ def test_line_spread(documents):
     texts += ["short line\nand more text that is here once\n\n"] * 8 + [common[40] + "\n" + common[12]] * 3 + ["", None, "\n\n", common[40], "x\n" + common[40] + "\n" + "y" * 60 + "\n\n"]
     sources += [f"site{i}" for i in range(8)] + ["site1", None, "site2", "site3", "site4", None, "site5", None]
     got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.remove_spread_lines(documents(texts, sources=sources)).collect()}
-    assert [got[i] for i in range(len(texts))] == spread_lines(list(zip(texts, sources)))
+    assert [got[i] for i in range(len(texts))] == all_spread_lines(list(zip(texts, sources)))
     out = line_spread.remove_spread_lines(documents(texts, sources=sources, ids=[None] * len(texts)))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "row", "n", "n_removed"] and out.count() == len(texts)
     assert line_spread.remove_spread_lines(documents([])).count() == 0
@@ -189,7 +172,7 @@ def test_label_model_discounts_repeated_voters():
     assert ((post > 0.5) == y).mean() > 0.8 and rate[1, 0] > rate[0, 0]
 
 
-def all_spread_lines(rows, min_sites=5, min_chars=12):
+def all_spread_lines(rows, min_sites=5, min_chars=1):
     """Every line on min_sites sites goes; from a text that is itself on as many, those on as many outside such texts."""
     copies, everywhere, apart = defaultdict(set), defaultdict(set), defaultdict(set)
     for text, site in rows:
@@ -224,7 +207,7 @@ def test_line_dedup_of_the_pipeline_leaves_no_proved_line(spark, documents):
     df = documents([t for t, _ in rows], sources=[s for _, s in rows])
     want = all_spread_lines(rows)
     for limit in (0, 1000):
-        got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.remove_spread_lines(df, max_share=None, broadcast_rows=limit).collect()}
+        got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.remove_spread_lines(df, broadcast_rows=limit).collect()}
         assert [got[i] for i in range(len(rows))] == want
     got = {r.doc_id: r for r in corpus_pipeline.line_dedup(spark, df, "").collect()}
     assert [got[i].text for i in range(len(rows))] == [t for t, _ in want] and all(r.text is None or r.n_chars == len(r.text) for r in got.values())

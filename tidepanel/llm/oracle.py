@@ -13,14 +13,14 @@ SELECT c.x AS vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.x = c
 
 OP3 = """
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, source, i, lines[i] AS line, trim(lines[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS k
-      FROM (SELECT doc_id, source, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
-b AS (SELECT k FROM l WHERE length(k) >= 12 GROUP BY k HAVING count(DISTINCT source) >= 5),
-m AS (SELECT l.doc_id, count(b.k) AS n, sum(CASE WHEN b.k IS NOT NULL THEN length(line) ELSE 0 END) AS gone, sum(length(line)) AS chars,
-             coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE b.k IS NULL), '') AS kept
-      FROM l LEFT JOIN b ON b.k = l.k GROUP BY 1)
-SELECT d.doc_id, d.source, CASE WHEN m.n > 0 AND m.gone <= 0.5 * m.chars THEN m.n ELSE 0 END AS n_removed,
-       CASE WHEN m.n > 0 AND m.gone <= 0.5 * m.chars THEN m.kept ELSE d.text END AS text
+w AS (SELECT text FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(DISTINCT source) >= 5),
+x AS (SELECT d.*, w.text IS NOT NULL AS wide FROM d LEFT JOIN w ON w.text = d.text),
+l AS (SELECT doc_id, source, wide, i, lines[i] AS line, trim(lines[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS k
+      FROM (SELECT doc_id, source, wide, lines, unnest(range(1, len(lines) + 1)) AS i FROM x)),
+b AS (SELECT k, count(DISTINCT CASE WHEN NOT wide THEN source END) >= 5 AS apart FROM l WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT source) >= 5),
+h AS (SELECT l.doc_id, l.i, l.line, b.k IS NOT NULL AND (b.apart OR NOT l.wide) AS hit FROM l LEFT JOIN b ON b.k = l.k),
+m AS (SELECT doc_id, count(*) FILTER (WHERE hit) AS n, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT hit), '') AS kept FROM h GROUP BY 1)
+SELECT d.doc_id, d.source, CASE WHEN m.n > 0 THEN m.n ELSE 0 END AS n_removed, CASE WHEN m.n > 0 THEN m.kept ELSE d.text END AS text
 FROM d LEFT JOIN m ON m.doc_id = d.doc_id"""
 
 OP7 = rf"""
