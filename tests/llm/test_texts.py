@@ -67,7 +67,9 @@ def base(text):
 
 
 def test_quality(documents):
-    clean = ["Of the people and for the nation this law was made in the year of peace. " + " ".join(f"word{chr(97 + (i * k) % 26)}{chr(97 + i % 26)} the of" for i in range(40)) for k in range(1, 30)]
+    rng = random.Random(4)
+    words = ["".join(rng.choice("bcdfghlmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(1, 4))) for _ in range(300)]
+    clean = ["Here is the story of the town. " + " ".join(rng.choice(["the", "of", "and", "to", "in"]) if rng.random() < 0.4 else rng.choice(words) for _ in range(120)) for _ in range(29)]
     junk = [" ".join(f"x{i}&&& q{i * 7}%%%" for i in range(60)), "one two three " * 40]
     texts = clean + junk + ODD + ["same line here\nsame line here\n\n \nsame line here", "a b c a b c", "x y x y x y"]
     langs = ["en"] * len(clean) + ["en", None] + [None if i % 2 else "xx" for i in range(len(texts) - len(clean) - 2)]
