@@ -90,18 +90,24 @@ def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int
     """Posterior of class 1 for each row, rates of each voter under classes 0 and 1, and voters' weights.
 
     votes: rows x voters, 1 where a voter speaks. start: a first posterior. Given the class, voters
-    count as independent up to their weights: a voter with much conditional correlation to others counts less.
+    count as independent up to their weights: a voter with much conditional correlation to others counts less. Voters that
+    vote nearly alike whatever the class (copies, a word and its beginnings) share one vote from the start, or the rounds would take
+    what they have in common for the class.
     """
-    post, weight = start.copy(), np.ones(votes.shape[1])
+    def correlation(left, least):
+        std = np.sqrt((left * left).mean(axis=0)) + 1e-9
+        corr = np.clip(left.T @ left / len(left) / np.outer(std, std), 0, 1)
+        corr[corr < least] = 0
+        return corr
+
+    post, copies = start.copy(), correlation(votes - votes.mean(axis=0), 0.8)
+    weight = 1 / copies.sum(axis=1).clip(1)
     for k in range(rounds):
         on = np.stack([1 - post, post])
         rate = (on @ votes + 0.5) / (on.sum(axis=1, keepdims=True) + 1)
         if k % 8 == 7:  # how voters agree beyond what the class explains
             left = votes - (post[:, None] * rate[1] + (1 - post[:, None]) * rate[0])
-            std = np.sqrt((left * left).mean(axis=0)) + 1e-9
-            corr = np.clip(left.T @ left / len(left) / np.outer(std, std), 0, 1)
-            corr[corr < 0.1] = 0
-            weight = 1 / corr.sum(axis=1).clip(1)
+            weight = 1 / np.maximum(correlation(left, 0.1), copies).sum(axis=1).clip(1)
         odds = np.log(prior / (1 - prior)) + votes @ (weight * np.log(rate[1] / rate[0])) + (1 - votes) @ (weight * np.log((1 - rate[1]) / (1 - rate[0])))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         done, post = np.abs(new - post).max() < 1e-4 and k > 8, new
@@ -110,18 +116,19 @@ def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int
     return post, rate, weight
 
 
-def fit_linear(rows: list[list[int]], target: np.ndarray, n: int, ridge: float = 1e-5, steps: int = 600) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft targets by accelerated gradient steps; rows hold the ids of present features."""
+def fit_linear(rows: list[list[int]], target: np.ndarray, n: int, ridge: float = 1e-5, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft targets by accelerated gradient steps, each weight at a pace of its own so that rare features get as far as common ones; rows hold the ids of present features."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([c for r in rows for c in r], dtype="i8")
+    size = np.array([len(r) + 1.0 for r in rows])
     w, b = np.zeros(n), float(np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3)))
     vw, vb = w.copy(), b
-    rate = 4 / (1 + np.mean([len(r) for r in rows] or [0]) + ridge)
+    pace, pace_b = 1 / (np.bincount(col, weights=size[at], minlength=n) / (4 * len(rows)) + ridge), 4 / size.mean()
     for k in range(steps):
         z = np.bincount(at, weights=vw[col], minlength=len(rows)) + vb
         miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
         gw = np.bincount(col, weights=miss[at], minlength=n) / len(rows) + ridge * vw
-        nw, nb = vw - rate * gw, vb - rate * miss.mean()
+        nw, nb = vw - pace * gw, vb - pace_b * miss.mean()
         vw, vb = nw + k / (k + 3) * (nw - w), nb + k / (k + 3) * (nb - b)
         w, b = nw, nb
     return w, b
