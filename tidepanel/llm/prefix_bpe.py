@@ -13,7 +13,9 @@ import base64
 import hashlib
 import re
 from array import array
+from itertools import accumulate
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm.common import slices
 
-#: Chunks a worker remembers, and the longest one it does.
-REMEMBERED, LONGEST = 500_000, 48
+#: Bytes that a worker remembers chunks with (in two generations), the longest chunk it does, and pairs of tokens it keeps.
+HELD, LONGEST, PAIRS = 64_000_000, 48, 400_000
 #: A chunk is white space and what follows up to the next white space. Matches of the split patterns
 #: supported here never run from other characters on into white space, so chunks split alone.
 _CHUNKS = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+").findall
@@ -37,8 +39,17 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def encoder_state(ranks: dict[bytes, int]) -> dict:
-    """What an encoder works with, as plain dictionaries: broadcast, a worker fills them over all its tasks."""
-    return {"ranks": ranks, "tails": {t[i:] for t in ranks for i in range(len(t))}, "bytes_of": {r: t for t, r in ranks.items()}, "digits": {r: str(r) for r in ranks.values()}, "split": {}, "pairs": {}, "chunks": {}, "pieces": {}}
+    """What an encoder works with, as plain dictionaries: broadcast, a worker fills them over all its tasks and lets go of them with the broadcast."""
+    return {"ranks": ranks, "bytes_of": {r: t for t, r in ranks.items()}, "digits": {r: str(r) for r in ranks.values()}, "split": {}, "pairs": {}, "chunks": {}}
+
+
+def token_finder(ranks: dict[bytes, int]) -> ahocorasick.Automaton:
+    """Finds the tokens that end at each byte of a text (bytes read as Latin-1), the longest first."""
+    out = ahocorasick.Automaton()
+    for token, rank in ranks.items():
+        out.add_word(token.decode("latin-1"), rank)
+    out.make_automaton()
+    return out
 
 
 def packed(ids: list[int]) -> bytes:
@@ -47,12 +58,12 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Remembered:
-    """A dictionary of bounded size: when full, what was not asked for since the last time goes."""
+    """A dictionary bounded in bytes: when half of them are new, what was not asked for since the last time goes."""
 
     def __init__(self, store: dict):
         self.store = store
-        store.setdefault("new", {})
-        store.setdefault("old", {})
+        if not store:
+            store.update(new={}, old={}, held=0)
 
     def get(self, key):
         value = self.store["new"].get(key)
@@ -61,16 +72,23 @@ class Remembered:
         return value
 
     def put(self, key, value):
-        if len(self.store["new"]) >= REMEMBERED:
-            self.store["old"], self.store["new"] = self.store["new"], {}
-        self.store["new"][key] = value
+        store = self.store
+        store["held"] += 200 + len(key) + len(value)  # two objects, their slot and their content
+        if store["held"] > HELD // 2:
+            store["old"], store["new"], store["held"] = store["new"], {}, 0
+        store["new"][key] = value
 
 
 class PrefixEncoder:
+    """A table of last tokens has an entry per byte prefix: the rank of its valid last token; that of the empty prefix, 0, is never read."""
+
     def __init__(self, state: dict):
-        self.ranks, self.tails, self.bytes_of, self.split = (state[k] for k in ("ranks", "tails", "bytes_of", "split"))
-        self.longest = max(map(len, self.ranks), default=1)
-        self.pairs: dict[tuple[bytes, bytes], bool] = state["pairs"]
+        self.ranks, self.bytes_of, self.split = (state[k] for k in ("ranks", "bytes_of", "split"))
+        self.longest, self.base = max(map(len, self.ranks), default=1), max(self.bytes_of, default=0) + 1
+        self.pairs: dict[int, bool] = state["pairs"]
+        if "finder" not in state:
+            state["finder"], state["sizes"] = token_finder(self.ranks), {r: len(t) for t, r in self.ranks.items()}
+        self.finder, self.sizes = state["finder"], state["sizes"]
 
     def merged(self, data: bytes, least: int = 1) -> list[bytes]:
         """BPE by definition, down to ``least`` parts; only ever run on a single token."""
@@ -90,19 +108,18 @@ class PrefixEncoder:
         out = self.split[token] = (parts[0], parts[1]) if len(parts) == 2 and token in self.ranks else None
         return out
 
-    def follows(self, a: bytes, b: bytes) -> bool:
-        """Whether BPE leaves the two tokens side by side, as no merge across their border comes first.
+    def follows(self, a: int | None, b: int) -> bool:
+        """Whether BPE leaves token b behind token a, or at the start where a is None."""
+        token = self.bytes_of[b]
+        if len(token) > 1 and not self.halves(token):
+            return False
+        return a is None or self._follows(self.bytes_of[a], token)
+
+    def _follows(self, a: bytes, b: bytes) -> bool:
+        """Whether no merge across the border of the two tokens comes first.
 
         Goes back in time: what touches the border just before the later of the two was made.
         """
-        ok = self.pairs.get((a, b))
-        if ok is None:
-            if len(self.pairs) >= 2 * REMEMBERED:
-                self.pairs.clear()
-            ok = self.pairs[a, b] = self._follows(a, b)
-        return ok
-
-    def _follows(self, a: bytes, b: bytes) -> bool:
         ranks, never = self.ranks, 1 << 60
         limit = never
         while True:
@@ -117,66 +134,56 @@ class PrefixEncoder:
                 limit, b = rb + 1, self.halves(b)[0]
 
     def extend(self, data: bytes, last: list[int], to: int | None = None) -> list[int]:
-        """Grow the table (last[i]: length of the valid last token of data[:i], last[0] = 0) up to ``to`` bytes."""
-        ranks, pairs, tails = self.ranks, self.pairs, self.tails
-        for i in range(len(last), (len(data) if to is None else to) + 1):
-            fits, start = [], i - 1
-            while start >= 0 and (token := data[start:i]) in tails:
-                if token in ranks:
-                    fits.append(token)
-                start -= 1
-            while fits:
-                token = fits.pop()  # the longest first
-                start = i - len(token)
-                if start + 1 < i and not self.halves(token):
-                    continue
-                if not start:
-                    break
-                before = data[start - last[start]:start]
-                ok = pairs.get((before, token))
-                if ok or ok is None and self.follows(before, token):
-                    break
-            else:
-                raise ValueError("the ranks lack a byte")
-            last.append(i - start)
+        """Grow the table of last tokens (that of the empty prefix: [0]) up to ``to`` bytes."""
+        return self._extend(data.decode("latin-1"), last, len(data) if to is None else to)
+
+    def _extend(self, text: str, last: list[int], to: int) -> list[int]:
+        pairs, sizes, base, at = self.pairs, self.sizes, self.base, len(last) - 1
+        if at >= to:
+            return last
+        for end, rank in self.finder.iter(text, max(0, at + 1 - self.longest), to):
+            if end != at:  # the last token of this prefix is there
+                continue
+            start = end + 1 - sizes[rank]
+            key = last[start] * base + rank if start else -1 - rank
+            ok = pairs.get(key)
+            if ok is None:
+                if len(pairs) >= PAIRS:
+                    pairs.clear()
+                ok = pairs[key] = self.follows(last[start] if start else None, rank)
+            if ok:
+                last.append(rank)
+                at += 1
+        if at != to:
+            raise ValueError("the ranks lack a byte")
         return last
 
     def edit(self, data: bytes, last: list[int], start: int, stop: int, new: bytes) -> tuple[bytes, list[int]]:
         """data and its table after data[start:stop] is replaced; stops as soon as the old entries hold again."""
         changed = data[:start] + new + data[stop:]
-        table, shift = last[:start + 1], len(changed) - len(data)
+        text, table, shift = changed.decode("latin-1"), last[:start + 1], len(changed) - len(data)
         same = 0
         while len(table) <= len(changed):
-            self.extend(changed, table, len(table))
+            self._extend(text, table, len(table))
             i = len(table) - 1
             # Equal last tokens over as many prefixes as a token is long, all past the edit, decide all that follows.
-            same = same + 1 if i - shift >= stop and i - table[i] >= start + len(new) and table[i] == last[i - shift] else 0
+            same = same + 1 if i - shift >= stop and i - self.sizes[table[i]] >= start + len(new) and table[i] == last[i - shift] else 0
             if same > self.longest:
                 table += last[i - shift + 1:]
                 break
         return changed, table
 
-    @staticmethod
-    def spans(last: list[int]) -> list[int]:
-        """Ends of the tokens that the table's whole prefix encodes to."""
-        ends, i = [], len(last) - 1
+    def taken(self, last: list[int]) -> list[int]:
+        """Ids that the table's whole prefix encodes to."""
+        ids, i, sizes = [], len(last) - 1, self.sizes
         while i:
-            ends.append(i)
-            i -= last[i]
-        return ends[::-1]
-
-    def encode_piece(self, piece: bytes) -> list[int]:
-        rank = self.ranks.get(piece)
-        if rank is not None:  # as the library does: a whole match in the vocabulary is its token
-            return [rank]
-        return self.taken(piece, self.extend(piece, [0]))
-
-    def taken(self, piece: bytes, last: list[int]) -> list[int]:
-        start, out = 0, []
-        for end in self.spans(last):
-            out.append(self.ranks[piece[start:end]])
-            start = end
-        return out
+            ids.append(last[i])
+            i -= sizes[last[i]]
+        return ids[::-1]
+
+    def spans(self, last: list[int]) -> list[int]:
+        """Ends of the tokens that the table's whole prefix encodes to."""
+        return list(accumulate(map(self.sizes.__getitem__, self.taken(last))))
 
 
 class TextEncoder:
@@ -184,21 +191,17 @@ class TextEncoder:
         self.piece = PrefixEncoder(state)
         self.find = regex.compile(pattern).findall
         self.digits = state["digits"]
-        self.chunks, self.pieces = Remembered(state["chunks"]), Remembered(state["pieces"])
-
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join([self._piece(m) for m in self.find(chunk)])
+        self.chunks = Remembered(state["chunks"])
 
-    def _piece(self, match: str) -> bytes:
-        ids = self.pieces.get(match)
-        return packed(self.piece.encode_piece(match.encode())) if ids is None else ids
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode what is new in sorted order: each piece appends to the table of what it shares with the one before."""
-        new = {m for c in chunks for m in self.find(c) if self.pieces.get(m) is None}
-        before, last = b"", [0]
-        for m in sorted(new):
+    def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Encoded in sorted order: each piece appends to the table of what it shares with the one before."""
+        out, before, last, ranks = {}, b"", [0], self.piece.ranks
+        for m in sorted(pieces):
             data = m.encode()
+            rank = ranks.get(data)
+            if rank is not None:  # as the library does: a whole match in the vocabulary is its token
+                out[m] = packed([rank])
+                continue
             same = 0
             for x, y in zip(before, data):
                 if x != y:
@@ -206,29 +209,36 @@ class TextEncoder:
                 same += 1
             last = self.piece.extend(data, last[:same + 1])
             before = data
-            rank = self.piece.ranks.get(data)
-            self.pieces.put(m, packed(self.piece.taken(data, last) if rank is None else [rank]))
-        for c in chunks:
-            self.chunks.put(c, self._chunk(c))
+            out[m] = packed(self.piece.taken(last))
+        return out
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't remembered; those of a chunk of several pieces are joined from the pieces'."""
+        split = {c: self.find(c) for c in chunks}
+        several = {m for found in split.values() if len(found) > 1 for m in found}
+        known = {m: ids for m in several if (ids := self.chunks.get(m)) is not None}
+        fresh = self._pieces((several - known.keys()) | {found[0] for found in split.values() if len(found) == 1})
+        known |= fresh
+        out = {c: known[found[0]] if len(found) == 1 else b"".join([known[m] for m in found]) for c, found in split.items()}
+        for c, ids in (fresh | out).items():
+            if len(c) <= LONGEST:
+                self.chunks.put(c, ids)
+        return out
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
-        split = [None if not t or _ODD(t) else _CHUNKS(t) for t in texts]
-        chunks = {c for x in split if x for c in x}
-        long = {c: self._chunk(c) for c in chunks if len(c) > LONGEST}
-        old = self.chunks.store["old"]
-        for c in chunks & old.keys() - self.chunks.store["new"].keys():
-            self.chunks.put(c, old[c])
-        self._learn({c for c in chunks - self.chunks.store["new"].keys() if len(c) <= LONGEST})
-        return [memoryview(self._chunk(t) if x is None and t else self._joined(x or (), long)).cast("i").tolist() for t, x in zip(texts, split)]
-
-    def _joined(self, chunks, long: dict[str, bytes]) -> bytes:
-        try:
-            return b"".join(map(self.chunks.store["new"].__getitem__, chunks))
-        except KeyError:
-            return b"".join([self.chunks.get(c) or long.get(c) or self._chunk(c) for c in chunks])
+        split = [() if not t else [t] if _ODD(t) else _CHUNKS(t) for t in texts]
+        found, new = {}, []
+        for c in set().union(*split):
+            ids = self.chunks.get(c)
+            if ids is None:
+                new.append(c)
+            else:
+                found[c] = ids
+        found |= self._learn(new)
+        return [memoryview(b"".join(map(found.__getitem__, x))).cast("i").tolist() for x in split]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.piece.bytes_of.__getitem__, ids))
