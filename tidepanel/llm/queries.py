@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepanel.llm import divergence, jaccard_join, line_spread, metric_join, mixing, oracle, packing, piece_count, prefix_bpe, resampling, suffix_dedup, surrogates, weak_toxicity, whitening
 from tidepanel.llm.common import read
@@ -45,7 +46,8 @@ def op8_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeated_bytes(read(spark, sf_dir, "documents")).drop("spans")
+    out = suffix_dedup.repeated_bytes(read(spark, sf_dir, "documents")).drop("spans")
+    return out.withColumn("shortened", F.col("n_removed") > 0)
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,6 +285,21 @@ def _cut(parts):
         yield pd.DataFrame(out, columns=["key", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
+def _of_several(found: DataFrame, several: DataFrame, chunk_rows: int, broadcast_rows: int = 100_000) -> DataFrame:
+    """The anchors whose hash is in ``several`` (h, count).
+
+    Hashes at more than ``chunk_rows`` places are few (all places / chunk_rows at most) and go to the anchors by a broadcast whose rows
+    are counted first, so none of them is shuffled into one task. Beyond ``broadcast_rows`` of them all are joined by
+    shuffle and splitting is left to the skew handling of adaptive execution.
+    """
+    hot = several.where(F.col("count") > chunk_rows).select("h")
+    if not 0 < hot.count() <= broadcast_rows:
+        return found.join(several.select("h"), "h")
+    hot = F.broadcast(hot)
+    rare = several.where(F.col("count") <= chunk_rows).select("h")
+    return found.join(hot, "h", "left_semi").unionByName(found.join(hot, "h", "left_anti").join(rare, "h").select("h", "key", "at"))
+
+
 def repeated_bytes(documents: DataFrame, window: int = 400, gram: int = 32, chunk_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, spans (start and stop byte of what goes).
 
@@ -300,10 +315,11 @@ def repeated_bytes(documents: DataFrame, window: int = 400, gram: int = 32, chun
     base = tables.write(rows.select("id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
     long = rows.where(F.octet_length("text") >= window).select("key", "text")
     found = tables.write(long.mapInPandas(_find_anchors(window, gram), "h long, key binary, at int").distinct())
-    several = found.groupBy("h").count().where("count > 1").select("h")
-    shared = found.join(several, "h").groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("found"))
+    several = tables.write(found.groupBy("h").count().where("count > 1"))
+    shared = _of_several(found, several, chunk_rows).groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("found"))
     texts = tables.write(long.groupBy("key").agg(F.first("text").alias("text")).join(shared, "key").select("key", "text", F.col("found.h").alias("hs"), F.col("found.at").alias("ats")))
     tables.drop(found)
+    tables.drop(several)
     places = tables.write(texts.mapInPandas(_contexts(window, gram, False), "h long, c binary, key binary, at int"))
     around = tables.write(texts.mapInPandas(_contexts(window, gram, True), "h long, c binary, left binary, right binary").dropDuplicates(["h", "c"]))
     # Surroundings that occur twice repeat themselves whole; different ones are sorted.
