@@ -14,10 +14,6 @@ from tidepanel.llm import jaccard_join, line_spread, mixing, prefix_bpe, weak_to
 from tidepanel.llm.common import Tables, read
 
 
-#: Target token shares of clean text by quality; what toxic text is left after the first stage is left free.
-MIX = {"q1t0": 0.90, "q0t0": 0.10}
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     return weak_toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
@@ -44,9 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as its rate says: 0, once or more."""
+    """Each document as many times as its rate says: 0, once or more; the targets are the operator's own."""
     whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    out = mixing.mix(whole, read(spark, sf_dir, "labels"), MIX, keep=["row"])
+    out = mixing.mix(whole, read(spark, sf_dir, "labels"), keep=["row"])
     out = out.where("copies > 0").select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row"))
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 

@@ -113,7 +113,20 @@ def test_mixing_finds_the_least_squares(spark):
         r = np.maximum(0, r - p @ weight @ ((r * t) @ p / t.sum() - target))
     mine = np.array([x.rate for x in got])
     shares = (mine * np.array([x.tokens for x in got])) @ np.array([x.posterior for x in got]) / t.sum()
-    assert (mine == 0).any() and loss(shares - target) <= loss((r * t) @ p / t.sum() - target) + 1e-4
+    assert (mine == 0).any() and loss(shares - target) <= loss((r * t) @ p / t.sum() - target) + 1e-5
+
+
+def test_mixing_bounds_the_targets_of_nearly_absent_domains(spark):
+    from tidepanel.llm.common import Tables
+    out = mixing.reachable(np.array([0.5, 0.3, 0.2]), np.array([0.6, 0.39, 0.01]), 4.0)
+    assert np.allclose(out, [0.6, 0.36, 0.04]) and np.allclose(mixing.reachable(np.array([0.9, 0.1]), np.array([0.5, 0.5]), 4.0), [0.9, 0.1])
+    assert np.allclose(mixing.reachable(np.array([0.5, 0.5]), np.array([1.0, 0.0]), 4.0), [1.0, 0.0])
+    p = np.array([[0.999, 0.001]] * 400 + [[0.02, 0.98]])
+    df = spark.createDataFrame([(10, b.tolist()) for b in p], "tokens long, posterior array<double>").repartition(4)
+    got = mixing.solve(df, [0, 1], np.array([0.5, 0.5]), Tables(spark, "test"), 1e-6, 2000, 4.0).collect()
+    reached = np.array([r.rate for r in got]) @ np.array([r.posterior for r in got]) / len(got)
+    assert np.allclose(reached, [1 - 4 * p[:, 1].mean(), 4 * p[:, 1].mean()], atol=1e-4) and max(r.rate for r in got) < 8
+    assert got[0].residual < 1e-4
 
 
 def test_mixing_without_labels(documents, frame):

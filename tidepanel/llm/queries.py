@@ -30,7 +30,7 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), keep=["doc_id"])
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), with_residual=True, keep=["doc_id"])
 
 
 def op6_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
