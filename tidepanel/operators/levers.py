@@ -114,3 +114,21 @@ def prioritise(effects: DataFrame, entity: str = "entity_id") -> DataFrame:
         + 0.5 * F.greatest("expected_risk_reduction_pp", F.lit(0.0)) / F.col("__rmax"))
     w = Window.partitionBy(entity).orderBy(F.col("priority_score").desc(), F.col("catalog_order"))
     return s.withColumn("priority_rank", F.row_number().over(w).cast("long")).drop("__gmax", "__rmax")
+
+
+def paired_effects(frame: DataFrame, fill: Mapping[str, float | None], features: Sequence[str], inputs: Sequence[str],
+                   scorers: Mapping[str, Callable[[Mapping[str, Column] | None], Column]],
+                   keys: Sequence[str] = ("entity_id", "lever_id")) -> DataFrame:
+    """SCR5: mean change of each score over the rows of a lever frame, missing inputs filled alike before and after.
+
+    ``frame`` holds the features, their edits as ``<feature>_after`` and the step; ``fill`` the values that stand in for missing inputs (None: left to
+    the scorer). An input that no lever moves is the same on both sides. Levers without a step are left out.
+    """
+    def side(after: bool) -> dict[str, Column]:
+        value = lambda c: F.col(f"{c}_after") if after and c in features else F.col(c)
+        return {c: F.coalesce(value(c).cast("double"), F.lit(fill[c])) if fill.get(c) is not None else value(c) for c in inputs}
+
+    changes = [(fn(side(True)) - fn(side(False))).alias(f"__{k}") for k, fn in scorers.items()]
+    return (frame.select(*keys, "step", *changes).groupBy(*keys)
+            .agg(F.avg("step").alias("mean_step"), F.count(F.lit(1)).alias("n_rows"), *[F.avg(f"__{k}").alias(f"{k}_change") for k in scorers])
+            .where(F.abs("mean_step") > 0))

@@ -130,14 +130,14 @@ class ModelMarts:
                          "expected_relative_risk_reduction", "priority_score", "priority_rank",
                          "n_state_rows").persist()
 
-    def lever_frame(self) -> DataFrame:
-        """LEV3: the edited feature values of every state row under every lever."""
+    def lever_frame(self, keep=()) -> DataFrame:
+        """LEV3: the edited feature values of every state row under every lever, with the columns ``keep`` as they were."""
         g = self.gaps.select(E, "metric", "shortfall", "needed_direction")
         cat = F.broadcast(rules.levers(self.spark).select("lever_id", "metric", "step_size", "step_type",
                                                           L.shift_map().alias("__shifts")))
         frame = self.state.crossJoin(cat).join(g, [E, "metric"], "left").withColumn("__step", L.step_column())
         after = L.applied(LEVER_FEATURES)
-        return frame.select(E, D, "lever_id", F.col("__step").alias("step"),
+        return frame.select(E, D, "lever_id", F.col("__step").alias("step"), *keep,
                             *[after[f].alias(f"{f}_after") for f in LEVER_FEATURES])
 
     # ------------------------------------------------------------------ post-model marts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_panel", "q_checks", "q_checks_broken", "q_gap", "q_model", "q_learn", "q_extra"]
+MODULES = ["q_panel", "q_checks", "q_checks_broken", "q_gap", "q_model", "q_learn", "q_extra", "q_baseline"]
 
 
 def load():
