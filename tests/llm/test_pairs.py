@@ -131,6 +131,19 @@ def test_repeats_against_brute_force(documents):
     assert all(sum(s.stop - s.start for s in r.spans) == r.n_removed and len(r.spans) == r.n_spans for r in spans.values())
 
 
+def test_repeats_whatever_the_digest_ends_with(documents):
+    """A text is known by its md5; one that ends in zero bytes is found like any other."""
+    shared = " ".join(f"word{i}" for i in range(12))
+    found = []
+    for i in range(5000):
+        text = f"{i} {shared} {i * 7919}"
+        if hashlib.md5(text.encode()).digest()[-1] == 0 or i < 3:
+            found.append(text)
+    assert len(found) > 10
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeated_bytes(documents(found), window=40, gram=8).collect()}
+    assert [got[i] for i in range(len(found))] == repeated(found, 40)
+
+
 def test_repeats_null_and_repeated_ids(documents):
     text = "x" + "0123456789" * 5
     got = suffix_dedup.repeated_bytes(documents([text, text, None], ids=[None, 3, 3]), window=40, gram=8).collect()
