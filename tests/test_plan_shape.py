@@ -1,11 +1,14 @@
 """Plan shape: the union-aggregate panel and all its windows share one Exchange; no Cartesian product."""
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from tidepanel.functions import frames as W
-from tidepanel.operators.panel import assemble
+from tidepanel.operators.panel import Calendar, assemble, dense_spine, entity_spans
+from tidepanel.plans import pipeline
+from tidepanel.plans.catalog import finish
 
 D0 = dt.date(2025, 1, 1)
 
@@ -37,3 +40,35 @@ def test_assembly_and_windows_use_one_exchange(spark):
         assert "Cartesian" not in plan and "BroadcastNestedLoopJoin" not in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_spans_give_the_panel_of_the_listed_spine(spark):
+    """One row per entity goes through the shuffle; its days and their numbers are those of ``dense_spine``."""
+    cal = Calendar(D0, D0 + dt.timedelta(30))
+    entities = spark.createDataFrame([(1, 5, D0), (2, 6, D0 + dt.timedelta(10)), (2, 6, D0 + dt.timedelta(10)), (3, 7, D0 + dt.timedelta(99)), (None, 8, D0)],
+                                     "entity_id int, team_id int, since date")
+    load = spark.createDataFrame([(1, D0, 2.0), (2, D0, 3.0), (2, D0 + dt.timedelta(11), 4.0), (3, D0, 5.0), (4, D0, 6.0), (1, None, 7.0)],
+                                 "entity_id int, date_day date, daily_load double")
+    feeds, cols = [(load, {"daily_load": "daily_load"})], ("day_index", "team_id")
+    listed = assemble(dense_spine(entities, cal, "since", keep=["team_id"]), feeds, zero_fill=["daily_load"], spine_cols=cols)
+    spans = assemble(entity_spans(entities, cal, "since", keep=["team_id"]), feeds, zero_fill=["daily_load"], spine_cols=cols, cal=cal)
+    assert spans.columns == listed.columns and spans.dtypes == listed.dtypes
+    assert Counter(map(tuple, spans.collect())) == Counter(map(tuple, listed.collect())) and spans.count() == 31 + 21 + 31
+
+
+def test_large_fact_is_not_kept(spark, monkeypatch):
+    """Beyond the bound no query caches the wide fact, and the joins of marts shuffle the days that can match only."""
+    monkeypatch.setattr(pipeline, "KEPT_FACT_ROWS", 0)
+    p = pipeline.PanelPipeline(pipeline.SupplierFeeds(spark, "/root/testdata/sf0.001"))
+    for df in (p.fact, p.perf_mart(), p.fact_events()):
+        assert "InMemoryTableScan" not in _plan(df)
+    assert "played" in _plan(p.perf_mart()) and not p.fact.storageLevel.useMemory
+    monkeypatch.setattr(pipeline, "KEPT_FACT_ROWS", 10 ** 9)
+    q = pipeline.PanelPipeline(pipeline.SupplierFeeds(spark, "/root/testdata/sf0.001"))
+    try:
+        assert q.fact.storageLevel.useMemory
+        for mart in ("perf_mart", "fact_events"):
+            few, kept = (sorted(map(str, finish(getattr(x, mart)()).collect())) for x in (p, q))
+            assert few == kept and few
+    finally:
+        q.fact.unpersist()

@@ -22,6 +22,7 @@ from tidepanel.plans.q_gap import GAP_CTES, gap_df
 from tidepanel.plans.q_learn import FEATURES, GROUPS, INJURY_RULES, design
 from tidepanel.plans.q_model import MODEL_CTES, mm
 from tidepanel.plans.q_panel import pp
+from tidepanel.session import cut_lineage
 
 E, D = "entity_id", "date_day"
 ALPHA = 50.0
@@ -33,7 +34,8 @@ ALPHA = 50.0
 def feature_medians(spark, sf_dir):
     """Exact medians of all model features over the training rows of the rating model, in four counting passes."""
     p = pp(spark, sf_dir)
-    found = exact_medians(p.perf_mart().where(F.col(D) <= F.lit(p.p.train_end)), ML_FEATURES)
+    rows = cut_lineage(p.perf_mart().where(F.col(D) <= F.lit(p.p.train_end)).select(*ML_FEATURES))
+    found = exact_medians(rows, ML_FEATURES)
     return spark.createDataFrame(list(found.items()), "feature string, median double")
 
 
@@ -71,7 +73,7 @@ guesses AS MATERIALIZED (
 
 def baseline_errors_df(p: PanelPipeline) -> DataFrame:
     """(baseline, mae, rmse, r2, n) of the mean, the recent form and the ridge, fitted on training rows, over the test rows."""
-    rows = design(p.perf_mart().withColumn("data_split", C.add_split(D, p.p.train_end, p.p.val_end))).withColumn("y", F.col("performance_rating").cast("double"))
+    rows = cut_lineage(design(p.perf_mart().withColumn("data_split", C.add_split(D, p.p.train_end, p.p.val_end))).withColumn("y", F.col("performance_rating").cast("double")))
     train = rows.where(F.col("data_split") == "train")
     middle = train.agg(F.avg("y").alias("y"), F.avg("rating_avg_5m").alias("form")).first()
     fitted = ridge(train, FEATURES, "y", ALPHA)
