@@ -9,9 +9,12 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tidepanel.functions import frames as W
-from tidepanel.operators.panel import Calendar, assemble, dense_spine, entity_spans
-from tidepanel.plans import pipeline
+from tidepanel.operators.dedupe import dedupe_latest
+from tidepanel.operators.panel import Calendar, DayRows, assemble, dense_spine, entity_spans, join_days
+from tidepanel.plans import pipeline, q_gap
 from tidepanel.plans.catalog import finish
+from tidepanel.plans.model import ModelMarts, attach_scores
+from tidepanel.plans.q_panel import acwr_both, acwr_recompute
 from tidepanel.session import cut_lineage
 from tidepanel.sources.tables import SCHEMAS
 
@@ -112,3 +115,47 @@ def test_cut_tables_are_parquet(spark):
     cut = cut_lineage(df)
     assert sorted(map(str, cut.collect())) == sorted(map(str, spark.createDataFrame(rows, "i int, t string, x double").collect()))
     assert runs.value == 3 and "FileScan parquet" in _plan(cut)
+
+
+def test_days_of_a_panel_join_without_another_shuffle(spark):
+    """Rows that repeat a day, days without a partner and null keys come as from a join of selections; the panel goes through one exchange."""
+    rows = [(1, D0, 1.0, 1), (1, D0, 2.0, 0), (1, D0 + dt.timedelta(1), 3.0, 0), (2, D0, None, 1), (2, D0, None, 1), (None, D0, 4.0, 1), (3, None, 5.0, 1)]
+    panel = spark.createDataFrame(rows, "entity_id int, date_day date, x double, flag int").repartition("entity_id")
+    panel = panel.withColumn("first", F.min("x").over(W.all_incl()))
+    keys, flag = ["entity_id", "date_day"], F.col("flag") == 1
+    left, right = panel.where("x IS NULL OR x < 5").select(*keys, "x"), panel.where(flag).select(*keys, F.col("first").alias("other"))
+    for how in ("inner", "left"):
+        got = join_days(panel, ["x"], [(DayRows(flag, {"other": F.col("first")}), how)], where=F.col("x").isNull() | (F.col("x") < 5))
+        want = left.where("entity_id IS NOT NULL AND date_day IS NOT NULL").join(right, keys, how)
+        plan = _plan(got)
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+        assert got.columns == want.columns and Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect())) and got.count() >= 6
+
+
+def test_marts_join_their_own_days_and_read_the_fact_once(spark, tmp_path, monkeypatch):
+    """Scores, predictions and recomputed ratios meet the fact's rows as by joins; benchmarks and states come from one written table."""
+    feeds = pipeline.SupplierFeeds(spark, tables(tmp_path))
+    rows = lambda df: sorted(map(str, finish(df).collect()))
+    monkeypatch.setattr(pipeline, "KEPT_FACT_ROWS", 10 ** 9)
+    kept = pipeline.PanelPipeline(feeds)
+    assert kept.fact.storageLevel.useMemory
+    monkeypatch.setattr(pipeline, "KEPT_FACT_ROWS", 0)
+    free = pipeline.PanelPipeline(feeds)
+    try:
+        m = ModelMarts(kept)
+        own, joined = m.risk_timeline(), attach_scores(kept.fact, m.risk_scores, m.rating_predictions)
+        assert own.columns == joined.columns and rows(own) == rows(joined) and own.count()
+        assert rows(acwr_both(kept)) == rows(acwr_recompute(kept).join(kept.fact.select("entity_id", "date_day", "acwr"), ["entity_id", "date_day"]))
+        gaps = {p: rows(q_gap.gap_df(p).drop("team_id", "position_group")) for p in (free, kept)}
+        assert gaps[free] == gaps[kept] and gaps[free]
+        assert "fact_days" in free.__dict__ and "fact_days" not in kept.__dict__
+        assert rows(ModelMarts(free).state) == rows(m.state)
+    finally:
+        kept.fact.unpersist()
+
+
+def test_version_columns_are_shuffled_once(spark):
+    df = spark.createDataFrame([(1, 5, "a", 2.0), (1, 7, "b", 1.0), (1, 7, "b", 3.0), (2, None, "c", 4.0)], "k int, v int, t string, x double")
+    out = dedupe_latest(df, ["k"], ["v", "t"])
+    assert out.columns == ["k", "v", "t", "x"] and sorted(map(tuple, out.collect())) == [(1, 7, "b", 3.0), (2, None, "c", 4.0)]
+    assert "x," not in _plan(out).split("struct(__v0")[0] and "struct(__v0, v#" in _plan(out) and ", v, v#" not in _plan(out)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepanel.operators import checks as Q
 from tidepanel.plans.catalog import register
 from tidepanel.plans.oracle import FEATURE_CTES, FEEDS, with_ctes
-from tidepanel.plans.q_panel import RECOMPUTE_CTE, acwr_recompute, pp
+from tidepanel.plans.q_panel import RECOMPUTE_CTE, acwr_both, pp
 
 E, D = "entity_id", "date_day"
 ACCEPTED_STATUS = ["O", "F"]
@@ -59,7 +59,7 @@ SELECT r.entity_id, r.date_day, r.acwr_check, f.acwr FROM recomputed r JOIN feat
 WHERE abs(r.acwr_check - f.acwr) > 1e-6"""), doubles=["acwr_check", "acwr"])
 def dq_recompute(spark, sf_dir):
     p = pp(spark, sf_dir)
-    return Q.recompute_diff(acwr_recompute(p), p.fact.select(E, D, "acwr"), [E, D], "acwr_check", "acwr")
+    return Q.recompute_diff(acwr_both(p), None, [E, D], "acwr_check", "acwr")
 
 
 @register("dq_row_parity", with_ctes(FEATURE_CTES, """
@@ -170,5 +170,5 @@ def dq_suite(spark, sf_dir):
         ("row_parity", "fct_entity_day", Q.row_parity(p.spine, p.fact)),
         ("contradiction", "entity_day_base", Q.contradiction(p.fact, [E, D])),
         ("recompute", "rolling_features",
-         Q.recompute_diff(acwr_recompute(p), p.fact.select(E, D, "acwr"), [E, D], "acwr_check", "acwr")),
+         Q.recompute_diff(acwr_both(p), None, [E, D], "acwr_check", "acwr")),
     ])
