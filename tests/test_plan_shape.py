@@ -159,3 +159,31 @@ def test_version_columns_are_shuffled_once(spark):
     out = dedupe_latest(df, ["k"], ["v", "t"])
     assert out.columns == ["k", "v", "t", "x"] and sorted(map(tuple, out.collect())) == [(1, 7, "b", 3.0), (2, None, "c", 4.0)]
     assert "x," not in _plan(out).split("struct(__v0")[0] and "struct(__v0, v#" in _plan(out) and ", v, v#" not in _plan(out)
+
+
+def test_panel_is_dealt_by_its_days(spark, tmp_path, monkeypatch):
+    """Days are listed after the panel's shuffle, so its tasks follow from their number, not from the bytes shuffled; the rows stay."""
+    feeds = pipeline.SupplierFeeds(spark, tables(tmp_path))
+    rows = []
+    for days in (10 ** 9, 40):
+        monkeypatch.setattr(pipeline, "TASK_DAYS", days)
+        p = pipeline.PanelPipeline(feeds)
+        wide = p.base.select("entity_id", "date_day", "daily_load", F.spark_partition_id().alias("task"))
+        rows.append(Counter(map(tuple, wide.drop("task").collect())))
+        tasks = -(-p.most_days // days) if days == 40 else spark.sparkContext.defaultParallelism
+        assert "hashpartitioning(entity_id" in _plan(wide) and f", {max(tasks, 4)}), REPARTITION_BY_NUM" in _plan(wide)
+    assert rows[0] == rows[1] and rows[0]
+
+
+def test_sessions_shuffle_only_what_does_not_follow(spark, tmp_path):
+    """Values that follow from others are worked out after the dedupe; which of equal versions wins stays the same."""
+    feeds = pipeline.SupplierFeeds(spark, tables(tmp_path, lines=300))
+    lines = pq.read_table(f"{tmp_path}/lineitem.parquet").to_pylist()
+    twice = [{**r, "l_quantity": r["l_quantity"] + 1, "l_returnflag": "A", "l_linestatus": x, "l_discount": None if x == "F" else 0.02} for r in lines[:60] for x in "FO"]
+    pq.write_table(pa.Table.from_pylist(lines + twice, pq.read_schema(f"{tmp_path}/lineitem.parquet")), f"{tmp_path}/lineitem.parquet")
+    p, keys = pipeline.PanelPipeline(feeds), ["l_orderkey", "l_linenumber"]
+    whole = dedupe_latest(feeds.sessions(), keys, ["loaded_at", "l_partkey", "entity_id", "l_extendedprice"])
+    lean = feeds.session_values(dedupe_latest(feeds.session_lines(), keys, ["loaded_at", "l_partkey", "entity_id", "l_extendedprice"]))
+    assert sorted(lean.columns) == sorted(whole.columns) and Counter(map(tuple, lean.select(whole.columns).collect())) == Counter(map(tuple, whole.collect()))
+    shuffled = _plan(p.stg_sessions).split("Exchange hashpartitioning(l_orderkey")[1]
+    assert "session_type" in shuffled and "total_distance_m" not in shuffled and "max_speed_raw" not in shuffled
