@@ -187,3 +187,18 @@ def test_sessions_shuffle_only_what_does_not_follow(spark, tmp_path):
     assert sorted(lean.columns) == sorted(whole.columns) and Counter(map(tuple, lean.select(whole.columns).collect())) == Counter(map(tuple, whole.collect()))
     shuffled = _plan(p.stg_sessions).split("Exchange hashpartitioning(l_orderkey")[1]
     assert "session_type" in shuffled and "total_distance_m" not in shuffled and "max_speed_raw" not in shuffled
+
+
+def test_match_rows_of_the_panel_are_those_of_the_join(spark, tmp_path, monkeypatch):
+    """``perf_rows`` shuffles no wide rows, yet has every row of the mart, as often: a fixture and a supplier come twice."""
+    folder = tables(tmp_path)
+    orders = pq.read_table(f"{folder}/orders.parquet")
+    again = [{**r, "o_totalprice": r["o_totalprice"] + 3e5} for r in orders.to_pylist() if r["o_orderkey"] % 3 == 1]
+    pq.write_table(pa.Table.from_pylist(orders.to_pylist() + again, orders.schema), f"{folder}/orders.parquet")
+    monkeypatch.setattr(pipeline, "KEPT_FACT_ROWS", 0)
+    p = pipeline.PanelPipeline(pipeline.SupplierFeeds(spark, folder))
+    lean = p.perf_rows()
+    mart, got = (Counter(map(str, finish(df.select("entity_id", "date_day", "performance_rating", "minutes_played", "acwr", "cmj_cm")).collect())) for df in (p.perf_mart(), lean))
+    assert got == mart and max(got.values()) >= 4
+    wide = [x for x in _plan(lean.select(*pipeline.ML_FEATURES)).split("\n") if "Exchange" in x and "BroadcastExchange" not in x]
+    assert len(wide) < len([x for x in _plan(p.perf_mart().select(*pipeline.ML_FEATURES)).split("\n") if "Exchange" in x and "BroadcastExchange" not in x])

@@ -34,7 +34,7 @@ ALPHA = 50.0
 def feature_medians(spark, sf_dir):
     """Exact medians of all model features over the training rows of the rating model, in four counting passes."""
     p = pp(spark, sf_dir)
-    rows = cut_lineage(p.perf_mart().where(F.col(D) <= F.lit(p.p.train_end)).select(*ML_FEATURES))
+    rows = cut_lineage(p.perf_rows().where(F.col(D) <= F.lit(p.p.train_end)).select(*ML_FEATURES))
     found = exact_medians(rows, ML_FEATURES)
     return spark.createDataFrame(list(found.items()), "feature string, median double")
 
@@ -73,7 +73,7 @@ guesses AS MATERIALIZED (
 
 def baseline_errors_df(p: PanelPipeline) -> DataFrame:
     """(baseline, mae, rmse, r2, n) of the mean, the recent form and the ridge, fitted on training rows, over the test rows."""
-    rows = cut_lineage(design(p.perf_mart().withColumn("data_split", C.add_split(D, p.p.train_end, p.p.val_end))).withColumn("y", F.col("performance_rating").cast("double")))
+    rows = cut_lineage(design(p.perf_rows().withColumn("data_split", C.add_split(D, p.p.train_end, p.p.val_end))).withColumn("y", F.col("performance_rating").cast("double")))
     train = rows.where(F.col("data_split") == "train")
     middle = train.agg(F.avg("y").alias("y"), F.avg("rating_avg_5m").alias("form")).first()
     fitted = ridge(train, FEATURES, "y", ALPHA)
@@ -140,6 +140,6 @@ def training_versions(spark, sf_dir):
     p = pp(spark, sf_dir)
     early = F.col(D) <= F.lit(p.p.train_end)
     counts = [p.injury_mart().agg(F.count(F.when(early & (F.col("label_is_complete") == 1), 1)).alias("n_train")).withColumn("model_name", F.lit("injury_risk_7d")),
-              p.perf_mart().agg(F.count(F.when(early, 1)).alias("n_train")).withColumn("model_name", F.lit("performance_rating"))]
+              p.perf_rows().agg(F.count(F.when(early, 1)).alias("n_train")).withColumn("model_name", F.lit("performance_rating"))]
     rows = reduce(DataFrame.unionByName, counts).withColumn("rounds", F.lit(INJURY_RULES.rounds))
     return rows.select("model_name", "n_train", C.model_version("n_train", "rounds", f"{p.calendar.end:%Y%m%d}").alias("model_version"))

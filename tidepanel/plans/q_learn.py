@@ -71,7 +71,7 @@ def injury_model(p: PanelPipeline) -> Trained:
 def rating_model(p: PanelPipeline) -> Trained:
     cache = p.__dict__.setdefault("_models", {})
     if "rating" not in cache:
-        mart = cut_lineage(design(_split(p.perf_mart(), p)).withColumn("label", F.col("performance_rating").cast("double")))
+        mart = cut_lineage(design(_split(p.perf_rows(), p)).withColumn("label", F.col("performance_rating").cast("double")))
         tr, va, te = (mart.where(F.col("data_split") == s) for s in ("train", "val", "test"))
         cache["rating"] = Trained(B.fit(tr, va, FEATURES, "label", RATING_RULES, MONOTONE_RATING), 0.0, 1.0, tr, te)
     return cache["rating"]
