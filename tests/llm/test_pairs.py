@@ -74,6 +74,39 @@ def test_jaccard_null_and_repeated_ids(documents):
     assert jaccard_join.similar_documents(documents([])).count() == 0
 
 
+def test_whole_sets_are_kept_for_members_of_pairs_only(documents, monkeypatch):
+    """Texts that share a shingle but can't be similar have points and no written sets."""
+    held, write = [], Tables.write
+
+    def spied(self, df):
+        out = write(self, df)
+        held.extend([out.count()] if "items" in out.columns else [])
+        return out
+    monkeypatch.setattr(Tables, "write", spied)
+    apart = [" ".join(["all", "of", "them", "say", "this", *[f"u{i}x{j}" for j in range(5)]]) for i in range(60)]
+    twins = ["a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o p q"]
+    got = jaccard_join.similar_documents(documents(apart + twins), common_in_sample=10_000).collect()
+    assert {tuple(r) for r in got} == {(i, 6, i) for i in range(60)} | {(60, 12, 60), (61, 13, 60)}
+    assert sum(held) <= 4
+
+
+def test_shingles_of_many_texts_at_once(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TEXT_BYTES", 100)
+    long = "z" * 300
+    texts = [None, "", " \t\n", "one", "a B c d", "A b C D", "a b c d e", "a\x0bb\x0cc\rd\x1ce f", "É é É é É é", f"{long} {long.upper()} {long}y x y w {long}",
+             "x " * 50, "x x x x x x", " ".join(f"w{i % 40}" for i in range(200)), "q" * 64 + " r s t " + "q" * 65 + " r s t"]
+    for size in (1, 3, 5):
+        names = {}
+        got = list(jaccard_join.shingle_sets(texts, size))
+        for text, hashes in zip(texts, got, strict=True):
+            want = shingled(text, size)
+            assert len(hashes) == len(want) and (hashes[1:] > hashes[:-1]).all()
+            assert names.setdefault(want, hashes.tobytes()) == hashes.tobytes()
+        for a, x in zip(texts, got):
+            for b, y in zip(texts, got):
+                assert len(np.intersect1d(x, y)) == len(shingled(a, size) & shingled(b, size))
+
+
 def test_count_tree_finds_all():
     rng = np.random.default_rng(1)
     sizes = rng.integers(5, 300, 500)

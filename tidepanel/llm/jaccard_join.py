@@ -45,7 +45,7 @@ class _Words(dict):
 
 
 def shingles(text: str | None, size: int, words: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text; of the whole sequence if it has fewer words."""
+    """Sorted distinct 64-bit hashes of the shingles of one text, for the signs of ``weak_toxicity``; the join uses ``shingle_sets``."""
     found = text.encode().lower().split() if text else []  # bytes: only A-Z change, and the split is the word rule
     if not found:
         return np.empty(0, dtype="u8")
@@ -64,6 +64,68 @@ def shingles(text: str | None, size: int, words: dict) -> np.ndarray:
     return np.unique(h)
 
 
+#: A word's hash is a polynomial in its bytes' numbers (A-Z have those of a-z), mixed; longer words are hashed one by one.
+_BYTES = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype="u8")
+_BYTES[65:91] = _BYTES[97:123]
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LONG_WORD = 64
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, i, 2**64) for i in range(LONG_WORD)], dtype="u8")
+#: Bytes of texts that are hashed at once.
+TEXT_BYTES = 1 << 18
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * _MIX
+    return h ^ (h >> np.uint64(32))
+
+
+def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of a text."""
+    codes = np.frombuffer(raw, dtype="u1")
+    inside = np.r_[False, ~_SPACE[codes], False]
+    start, end = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+    if not len(start):
+        return start, np.empty(0, dtype="u8")
+    n = end - start
+    at = np.flatnonzero(inside[1:-1])
+    place = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+    h = np.add.reduceat(_BYTES[codes[at]] * _POWERS[np.minimum(place, LONG_WORD - 1)], np.cumsum(n) - n)
+    h = _mixed(h + n.astype("u8") * _PLACES[4])
+    for i in np.flatnonzero(n > LONG_WORD):
+        h[i] = xxhash.xxh64_intdigest(raw[start[i]:end[i]].lower())
+    return start, h
+
+
+def shingle_sets(texts, size: int):
+    """Of each text the sorted distinct 64-bit hashes of its shingles; of the whole sequence if it has fewer words."""
+    held, held_bytes = [], 0
+    for text in texts:
+        held.append(text.encode() if text else b"")
+        held_bytes += len(held[-1])
+        if held_bytes >= TEXT_BYTES:
+            yield from _sets_of(held, size)
+            held, held_bytes = [], 0
+    yield from _sets_of(held, size)
+
+
+def _sets_of(raws: list[bytes], size: int):
+    start, w = _word_hashes(b"\n".join(raws))
+    places = np.resize(_PLACES, size) * (2 * np.arange(size, dtype="u8") + np.uint64(1))
+    whole = np.zeros(max(0, len(w) - size + 1), dtype="u8")
+    for i in range(size):
+        whole += w[i:i + len(whole)] * places[i]
+    whole = _mixed(whole)
+    first = np.searchsorted(start, np.cumsum([0, *(len(x) + 1 for x in raws)]))  # the first word of each text
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a >= size:
+            h = np.sort(whole[a:b - size + 1])
+            yield h[np.r_[True, h[1:] != h[:-1]]]
+        elif b > a:
+            yield _mixed((w[a:b] * places[:b - a]).sum(dtype="u8", keepdims=True) + np.uint64(b - a))
+        else:
+            yield np.empty(0, dtype="u8")
+
+
 def counts(hashes: np.ndarray) -> np.ndarray:
     """How many shingles each group has; long sets have finer groups, which add up to the common ones."""
     groups = GROUPS if len(hashes) < LONG else FINE
@@ -124,29 +186,25 @@ _LEAD = np.uint64(0xA5A5A5A55A5A5A5A)
 
 def _sets(size: int, pct: int, common, leads: int = 0):
     def run(parts):
-        words = _Words()
         late = common.value if common is not None else np.empty(0, dtype="u8")
         for part in slices(parts):
             out = []
-            for text in part["text"]:
-                h = shingles(text, size, words)
+            for h in shingle_sets(part["text"], size):
                 key = hashlib.md5(h.tobytes()).digest() if len(h) else None
-                out.append((len(h), key, prefix(h, pct, late).view("i8"), (h[:leads] ^ _LEAD).view("i8")))
-            yield pd.DataFrame(out, columns=["n", "key", "first", "lead"]).assign(id=part["id"].astype("Int64"), text_hash=part["text_hash"])
+                point = np.minimum(counts(h), MOST).astype("u1").tobytes() if len(h) else None
+                out.append((len(h), key, prefix(h, pct, late).view("i8"), (h[:leads] ^ _LEAD).view("i8"), point))
+            yield pd.DataFrame(out, columns=["n", "key", "first", "lead", "point"]).assign(id=part["id"].astype("Int64"), text_hash=part["text_hash"])
     return run
 
 
 def _whole_sets(size: int):
     def run(parts):
-        words = _Words()
         for part in slices(parts):
-            points, items = [], []
-            for key, text in zip(part["key"], part["text"]):
-                h = shingles(text, size, words)
-                mine = hashlib.md5(h.tobytes()).digest() == bytes(key)  # else another text under the same id
-                points.append(np.minimum(counts(h), MOST).astype("u1").tobytes() if mine else None)
-                items.append(h.tobytes() if mine else None)
-            yield part[["id", "n"]].assign(point=points, items=items)
+            items = []
+            for key, h in zip(part["key"], shingle_sets(part["text"], size)):
+                raw = h.tobytes()
+                items.append(raw if hashlib.md5(raw).digest() == bytes(key) else None)  # None: another text under the same id
+            yield part[["id"]].assign(items=items)
     return run
 
 
@@ -277,7 +335,7 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     spark = documents.sparkSession
     tables = Tables(spark, "jaccard")
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
-    spec = "id long, n int, key binary, first array<long>, lead array<long>, text_hash long"
+    spec = "id long, n int, key binary, first array<long>, lead array<long>, point binary, text_hash long"
     total = max(1, rows.count())
     seen = (rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1, sample_rows / total)) + 1)
             .mapInPandas(_sets(size, 0, None), spec)
@@ -298,19 +356,23 @@ def similar_documents(documents: DataFrame, size: int = 5, pct: int = 80, sample
     marked = F.concat(F.transform("first", lambda x: F.struct(x.alias("s"), F.lit(False).alias("lead"))), F.transform("lead", lambda x: F.struct(x.alias("s"), F.lit(True).alias("lead"))))
     postings = classes.select("id", "n", F.explode(marked).alias("p")).select("p.s", "id", "n", "p.lead")
     shared = tables.write(postings.repartition("s").sortWithinPartitions("s", "id").mapInPandas(_shared(chunk_rows, chunk_items), "s long, id long, n int, lead boolean, chunk long"))
-    tables.drop(base)
-    wanted = names.join(shared.select("id").distinct(), "id", "left_semi").select("doc", "text_hash", "key", "n", "id")
+    wanted = names.join(shared.select("id").distinct(), "id", "left_semi").select("doc", "text_hash", "key", "id")
 
     def small(df: DataFrame) -> DataFrame:
         """A written table, broadcast up to ``broadcast_rows`` rows of a few numbers each; beyond that it is shuffled."""
         df = tables.write(df)
         return F.broadcast(df) if df.count() <= broadcast_rows else df
 
-    sets = tables.write(rows.withColumnRenamed("id", "doc").join(small(wanted), ["doc", "text_hash"]).mapInPandas(_whole_sets(size), "id long, n int, point binary, items binary").where("items IS NOT NULL"))
-    points, items = sets.select("id", "n", "point"), sets.select("id", "items")
+    wanted = small(wanted)
+    points = tables.write(base.select(F.col("id").alias("doc"), "n", "key", "point", "text_hash").join(wanted, ["doc", "text_hash", "key"]).select("id", "n", "point"))
+    tables.drop(base)
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The similar ones of the pairs: whole sets are hashed again, for the members of pairs only."""
         pairs = small(pairs)
+        members = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        texts = rows.withColumnRenamed("id", "doc").join(small(wanted.join(members, "id", "left_semi")), ["doc", "text_hash"])
+        items = tables.write(texts.mapInPandas(_whole_sets(size), "id long, items binary").where("items IS NOT NULL"))
         x = items.withColumnRenamed("id", "a").join(pairs, "a").select("a", "b", F.col("items").alias("x"))
         y = items.withColumnRenamed("id", "b").join(pairs, "b").select("a", "b", F.col("items").alias("y"))
         return x.join(y, ["a", "b"]).mapInPandas(_verify(pct), "a long, b long")
