@@ -48,3 +48,41 @@ def test_against_brute_force(frame):
 
 def test_empty(frame):
     assert metric_join.near_duplicates(frame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_copies_are_handed_on_in_bounded_frames(monkeypatch):
+    """A batch has a copy per chunk of each cell; they come in frames of bounded rows, each vector once for every task."""
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    full = rng.normal(size=(60, 8))
+    part = pd.DataFrame({"key": [rng.bytes(16) for _ in full], "vec": [v.tobytes() for v in full], "n": 1, "home": 0, "angle": 0.1})
+    chunks = np.array([9, 4, 1])
+    monkeypatch.setattr(metric_join, "COPIES_AT_ONCE", 40)
+    frames = list(metric_join._copies(full[:3] / np.linalg.norm(full[:3], axis=1)[:, None], "f8", 9.0, np.full(3, -9.0), np.full(3, 9.0), chunks)(iter([part])))
+    assert max(map(len, frames)) <= 40
+    got = pd.concat(frames)
+    assert len(got) == len(got.drop_duplicates(["key", "cell", "a", "b"]))
+    for (_, cell), g in got.groupby(["key", "cell"]):
+        own = g["mine"].iloc[0]
+        assert sorted(zip(g["a"], g["b"])) == sorted((min(own, o), max(own, o)) for o in range(chunks[cell])) and (g["at_home"] == (cell == 0)).all()
+
+
+def test_cells_that_prune_nothing_are_one(frame):
+    """Vectors without structure: the bounds send nearly all to all cells, so one cell of chunks has fewer copies; the links are the same."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, 24)))]
+    rows += [(90 + i, (np.array(rows[i][1]) + rng.normal(size=24) * 0.1).tolist()) for i in range(30)]
+    df = frame(rows, "vec_id long, embedding array<float>")
+    seen, plain = [], metric_join._copies
+
+    def watched(pivots, *rest):
+        seen.append((len(pivots), rest[-1].tolist()))
+        return plain(pivots, *rest)
+    metric_join._copies = watched
+    try:
+        got = metric_join.near_duplicates(df, cosine=0.9, chunk_rows=20, n_pivots=6).collect()
+    finally:
+        metric_join._copies = plain
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows, 0.9)
+    assert seen[0][0] == 6 and seen[1] == (1, [6])

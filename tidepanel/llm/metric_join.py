@@ -29,6 +29,8 @@ from tidepanel.llm.common import Tables, components
 
 #: Added to every angle bound, above what rounding of double precision angles can reach.
 SLACK = 1e-6
+#: Copies that are handed on at once: a vector has one for each chunk of each of its cells.
+COPIES_AT_ONCE = 50_000
 
 
 def _packed(ids: str, column: str, kind: str):
@@ -95,22 +97,27 @@ def _copies(pivots: np.ndarray, kind: str, radius: float, low: np.ndarray, high:
             to &= cell > home[:, None]
             to[np.arange(len(a)), home] = True
             row, at = np.nonzero(to)
-            salt = np.array([int.from_bytes(k[:7], "big") for k in part["key"]])[row]
-            own = salt % chunks[at]
-            rows, cells, firsts, seconds, mine = [], [], [], [], []
-            for c in np.unique(chunks[at]):
-                m = np.flatnonzero(chunks[at] == c)
-                r, o = np.repeat(m, c), np.tile(np.arange(c), len(m))
-                rows.append(row[r]), cells.append(at[r]), mine.append(own[r])
-                firsts.append(np.minimum(own[r], o)), seconds.append(np.maximum(own[r], o))
-            rows, cells = np.concatenate(rows), np.concatenate(cells)
-            out = part[["key", "vec", "n"]].iloc[rows].reset_index(drop=True)
-            out["cell"], out["a"], out["b"], out["mine"] = cells.astype("i4"), np.concatenate(firsts), np.concatenate(seconds), np.concatenate(mine)
-            out["at_home"] = home[rows] == cells
-            yield out
+            salt = np.array([int.from_bytes(k[:7], "big") for k in part["key"]])
+            made = np.cumsum(chunks[at])
+            s = 0
+            while s < len(row):
+                e = max(s + 1, int(np.searchsorted(made, (made[s - 1] if s else 0) + COPIES_AT_ONCE, side="right")))
+                yield _dealt(part, home, salt, row[s:e], at[s:e], chunks)
+                s = e
     return run
 
 
+def _dealt(part: pd.DataFrame, home: np.ndarray, salt: np.ndarray, row: np.ndarray, at: np.ndarray, chunks: np.ndarray) -> pd.DataFrame:
+    """The copies of rows ``row`` in cells ``at``: one for each chunk of the cell."""
+    n = chunks[at]
+    rows, cells = np.repeat(row, n), np.repeat(at, n)
+    other, own = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n), np.repeat(salt[row] % n, n)
+    out = part[["key", "vec", "n"]].iloc[rows].reset_index(drop=True)
+    out["cell"], out["a"], out["b"], out["mine"] = cells.astype("i4"), np.minimum(own, other), np.maximum(own, other), own
+    out["at_home"] = home[rows] == cells
+    return out
+
+
 def _linked(full, norms, fast, x: np.ndarray, y: np.ndarray, cosine: float, block: int = 2048):
     """Index pairs with cosine at or over the bound: a float32 product screens, double precision decides."""
     for i in range(0, len(x), block):
@@ -187,12 +194,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         pivots = _choose(full / norms[:, None], n_pivots)
         at_home = tables.write(own.mapInPandas(_homes(pivots, kind), "key binary, vec binary, n long, home int, angle double"))
         low, high = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-        for r in at_home.groupBy("home").agg(F.min("angle"), F.max("angle")).collect():  # a row for each pivot
-            low[r[0]], high[r[0]] = r[1], r[2]
+        whole = 0
+        for r in at_home.groupBy("home").agg(F.min("angle"), F.max("angle"), F.count("*")).collect():  # a row for each pivot
+            low[r[0]], high[r[0]], whole = r[1], r[2], whole + r[3]
         one = np.ones(len(pivots), dtype=int)
         spec = "key binary, vec binary, n long, cell int, a long, b long, mine long, at_home boolean"
         sizes = {r["cell"]: r["count"] for r in at_home.mapInPandas(_copies(pivots, kind, radius, low, high, one), spec).groupBy("cell").count().collect()}
         chunks = np.array([max(1, -(-sizes.get(i, 0) // chunk_rows)) for i in range(len(pivots))])
+        flat = -(-whole // chunk_rows)
+        if 1 < flat and whole * flat < sum(n * chunks[i] for i, n in sizes.items()):
+            at_home, pivots, low, high, chunks = at_home.withColumn("home", F.lit(0)), pivots[:1], low[:1], high[:1], np.array([flat])
         tasks = at_home.mapInPandas(_copies(pivots, kind, radius, low, high, chunks), spec)
         part = tasks.groupBy("cell", "a", "b").applyInPandas(_join(kind, cosine), "key binary, links long, to binary")
         found = part if found is None else found.unionByName(part)
