@@ -34,7 +34,7 @@ ALPHA = 50.0
 def feature_medians(spark, sf_dir):
     """Exact medians of all model features over the training rows of the rating model, in four counting passes."""
     p = pp(spark, sf_dir)
-    rows = cut_lineage(p.perf_rows().where(F.col(D) <= F.lit(p.p.train_end)).select(*ML_FEATURES))
+    rows = cut_lineage(p.perf_rows(rows=F.col(D) <= F.lit(p.p.train_end)).select(*ML_FEATURES))
     found = exact_medians(rows, ML_FEATURES)
     return spark.createDataFrame(list(found.items()), "feature string, median double")
 
@@ -139,7 +139,7 @@ def training_versions(spark, sf_dir):
     """PRJ20: the stamp of each model from the last day, its training rows and its rounds, so that new rows give a new name."""
     p = pp(spark, sf_dir)
     early = F.col(D) <= F.lit(p.p.train_end)
-    counts = [p.injury_mart().agg(F.count(F.when(early & (F.col("label_is_complete") == 1), 1)).alias("n_train")).withColumn("model_name", F.lit("injury_risk_7d")),
-              p.perf_rows().agg(F.count(F.when(early, 1)).alias("n_train")).withColumn("model_name", F.lit("performance_rating"))]
+    counts = [p.injury_mart(["label_is_complete"]).agg(F.count(F.when(early & (F.col("label_is_complete") == 1), 1)).alias("n_train")).withColumn("model_name", F.lit("injury_risk_7d")),
+              p.perf_rows([]).agg(F.count(F.when(early, 1)).alias("n_train")).withColumn("model_name", F.lit("performance_rating"))]
     rows = reduce(DataFrame.unionByName, counts).withColumn("rounds", F.lit(INJURY_RULES.rounds))
     return rows.select("model_name", "n_train", C.model_version("n_train", "rounds", f"{p.calendar.end:%Y%m%d}").alias("model_version"))

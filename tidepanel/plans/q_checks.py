@@ -67,7 +67,7 @@ SELECT s.n AS spine_rows, f.n AS fact_rows
 FROM (SELECT count(*) AS n FROM spine) s CROSS JOIN (SELECT count(*) AS n FROM fact) f WHERE s.n <> f.n"""))
 def dq_row_parity(spark, sf_dir):
     p = pp(spark, sf_dir)
-    return Q.row_parity(p.spine, p.fact, "spine_rows", "fact_rows")
+    return Q.row_parity(p.spine, p.fact_of(["day_index"]), "spine_rows", "fact_rows")
 
 
 @register("dq_overlap", with_ctes(FEEDS, """
@@ -86,7 +86,7 @@ WHERE has_full_history = 1 AND is_unavailable = 0
     OR (label_is_complete = 1 AND date_day > (SELECT cal_end FROM cal) - 6))"""))
 def dq_label_window(spark, sf_dir):
     p = pp(spark, sf_dir)
-    mart = p.injury_mart()
+    mart = p.injury_mart(["label_is_complete", "injury_next_7d"])
     return Q.label_window(mart, "injury_next_7d", "label_is_complete", D, p.calendar.end,
                           p.p.label_horizon_days).select(E, D, "label_is_complete", "injury_next_7d")
 
@@ -95,7 +95,7 @@ def dq_label_window(spark, sf_dir):
 SELECT entity_id, date_day, sessions, rehab_sessions FROM base
 WHERE is_unavailable = 1 AND sessions - rehab_sessions > 0"""))
 def dq_contradiction(spark, sf_dir):
-    return Q.contradiction(pp(spark, sf_dir).fact, [E, D])
+    return Q.contradiction(pp(spark, sf_dir).fact_of(["is_unavailable", "sessions", "rehab_sessions"]), [E, D])
 
 
 @register("dq_label_names", with_ctes(FEATURE_CTES, """
@@ -116,7 +116,7 @@ def dq_split_order(spark, sf_dir):
     from tidepanel.functions.columns import add_split
 
     p = pp(spark, sf_dir)
-    m = p.injury_mart().withColumn("data_split", add_split(D, p.p.train_end, p.p.val_end))
+    m = p.injury_mart(["is_unavailable"]).withColumn("data_split", add_split(D, p.p.train_end, p.p.val_end))
     return Q.split_spans(m, "data_split", D)
 
 
@@ -167,8 +167,8 @@ def dq_suite(spark, sf_dir):
     return Q.run_checks([
         ("not_null", "stg_sessions", Q.not_null(p.stg_sessions, "max_speed_kmh")),
         ("unique_combination", "raw_sessions", Q.unique_combination(p.feeds.sessions(), ["l_orderkey", "l_linenumber"])),
-        ("row_parity", "fct_entity_day", Q.row_parity(p.spine, p.fact)),
-        ("contradiction", "entity_day_base", Q.contradiction(p.fact, [E, D])),
+        ("row_parity", "fct_entity_day", Q.row_parity(p.spine, p.fact_of(["day_index"]))),
+        ("contradiction", "entity_day_base", Q.contradiction(p.fact_of(["is_unavailable", "sessions", "rehab_sessions"]), [E, D])),
         ("recompute", "rolling_features",
          Q.recompute_diff(acwr_both(p), None, [E, D], "acwr_check", "acwr")),
     ])

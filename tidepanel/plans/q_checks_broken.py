@@ -79,7 +79,7 @@ def dq_split_order_violations(spark, sf_dir):
     from tidepanel.functions.columns import add_split
 
     p = pp(spark, sf_dir)
-    return Q.split_order(p.injury_mart().withColumn("data_split", add_split("date_day", p.p.train_end, p.p.val_end)), "data_split", "date_day")
+    return Q.split_order(p.injury_mart(["is_unavailable"]).withColumn("data_split", add_split("date_day", p.p.train_end, p.p.val_end)), "data_split", "date_day")
 
 
 @register("dq_label_names_broken", with_ctes(FEATURE_CTES, """
@@ -87,7 +87,7 @@ SELECT 'injury_next_7d' AS column_name, count(injury_next_7d) AS n_values FROM f
 UNION ALL SELECT 'label_is_complete', count(label_is_complete) FROM fact"""))
 def dq_label_names_broken(spark, sf_dir):
     """DQ12 on the fact with its labels left among the features: what they hold."""
-    fact = pp(spark, sf_dir).fact.select("entity_id", "date_day", "acwr", "injury_next_7d", "label_is_complete")
+    fact = pp(spark, sf_dir).fact_of(["acwr", "injury_next_7d", "label_is_complete"])
     named = [r.column_name for r in Q.label_named_columns(spark, fact, ["entity_id", "date_day"]).collect()]  # column names
     return fact.agg(*[F.count(c).alias(c) for c in named]).unpivot([], named, "column_name", "n_values")
 
