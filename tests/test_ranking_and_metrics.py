@@ -145,3 +145,17 @@ def test_a_value_that_most_rows_share(spark):
     for (g, v), p in pr.items():
         below = sum(1 for k, x in rows if k == g and ((x is None and v is not None) or (x is not None and v is not None and x < v)))
         assert abs(p - below / (sum(1 for k, _ in rows if k == g) - 1)) < 1e-12
+
+
+def test_ascending_keys_are_shuffled_once(spark, monkeypatch):
+    """Ranks in ascending order carry no copy of their keys through the shuffle and the written table."""
+    from tidepanel.operators import ranking
+
+    cut, plain = [], ranking.cut_lineage
+    monkeypatch.setattr(ranking, "cut_lineage", lambda df: cut.append(df.columns) or plain(df))
+    df = spark.createDataFrame([(i % 2, float(i * 7 % 5), i) for i in range(20)], "g int, v double, i int")
+    got = ranking.exact_row_number(df, ["g"], ["v", "i"]).collect()
+    assert sorted((r.g, r.v, r.i) for r in got) == sorted((r.g, r.v, r.i) for r in sorted(got, key=lambda r: (r.g, r["rank"]))) and len(got) == 20
+    assert [(r.v, r.i) for r in sorted(got, key=lambda r: r["rank"]) if r.g] == sorted((r.v, r.i) for r in got if r.g)
+    assert [r["v_cum"] for r in sorted(ranking.running_totals(df, ["i"], ["v"]).collect(), key=lambda r: r.i)][-1] == sum(r.v for r in got)
+    assert cut == [["g", "v", "i", "__mid"], ["g", "v", "i", "__mid", "__pid"]]
